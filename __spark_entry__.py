@@ -6,10 +6,7 @@ sides: by DataFrame functions in ``mastgrid.sources.lineitem`` and by the SQL te
 from __future__ import annotations
 
 import os
-import posixpath
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import mastgrid as mg  # noqa: E402
+from mastgrid.functions.durable import shared_path  # noqa: E402
 from mastgrid.operators.sites import OPERATOR, OPERATOR_TECH, TECH  # noqa: E402
 from mastgrid.plans.summary import tower_summary  # noqa: E402
 from mastgrid.sources.lineitem import towers_from_lineitem  # noqa: E402
@@ -32,22 +30,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["region_underserved"](spark, "/root/testdata/sf0.001")
 
 
-def _scratch_path(spark: SparkSession) -> str:
-    """A new folder beside the session's checkpoints, or a temporary one in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return posixpath.join(folder, f"mastgrid-{uuid.uuid4().hex}")
-
-
 def _through_csv(towers: DataFrame) -> DataFrame:
     """Write a headerless tower file and read it back by position."""
-    path = _scratch_path(towers.sparkSession)
+    path = shared_path(towers.sparkSession)
     towers.write.csv(path)
     return mg.read_towers(towers.sparkSession, path)
 
 
 def _through_clean_parquet(towers: DataFrame) -> DataFrame:
     """Keep the cleaned table by technology and read one technology of it."""
-    path = _scratch_path(towers.sparkSession)
+    path = shared_path(towers.sparkSession)
     mg.save_clean(mg.clean_towers(towers), path)
     kept = mg.read_towers(towers.sparkSession, path, "parquet")
     return mg.by_tech(kept, "LTE").select("radio", "area", "cell", "lon", "lat", "range", "created")
@@ -55,7 +47,7 @@ def _through_clean_parquet(towers: DataFrame) -> DataFrame:
 
 def _through_sink(towers: DataFrame) -> DataFrame:
     """Write a result partitioned by technology and read it back."""
-    path = _scratch_path(towers.sparkSession)
+    path = shared_path(towers.sparkSession)
     mg.write_result(mg.region_tech_count(mg.clean_towers(towers)), path, "parquet", ["radio"])
     return towers.sparkSession.read.parquet(path)
 

@@ -1,15 +1,29 @@
 """Intermediate tables that outlive lost executors."""
+import posixpath
 import tempfile
+import uuid
 
 
-def durable(df):
-    """Checkpoint ``df`` in the folder the session names in ``spark.checkpoint.dir``.
+def shared_path(spark):
+    """A new path in the folder the session names in ``spark.checkpoint.dir``.
 
     Only a session that names none, such as a test's, gets a temporary local folder.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="mastgrid-"))
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="mastgrid-")
+    return posixpath.join(folder, f"mastgrid-{uuid.uuid4().hex}")
+
+
+def durable(df, partition_by=()):
+    """Write ``df`` as a Parquet table in the shared folder and return that table.
+
+    What follows reads the columns and partitions it needs of a short plan, and a lost
+    executor costs a re-read and not the work done so far. The files stay in the folder
+    until its owner clears it, as those of a checkpoint do.
+    """
+    path = shared_path(df.sparkSession)
+    writer = df.write
+    if partition_by:
+        # Adaptive execution splits large partitions over tasks and joins small ones.
+        writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)

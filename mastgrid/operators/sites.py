@@ -4,7 +4,6 @@ Centres land where towers are dense; they mark clusters, not gaps in coverage. D
 Euclidean in degrees.
 """
 import math
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import pyarrow as pa
@@ -20,6 +19,9 @@ from mastgrid.schema import DEFAULT_OPERATOR
 OPERATOR, TECH = ("operator_name",), ("radio",)
 OPERATOR_TECH = OPERATOR + TECH
 
+GROUP = "group_key"
+PLACES_PER_PARTITION = 100_000
+
 
 def site_count(by, n, k=None):
     """Centres for a group of ``n`` towers; 0 if the group is too small."""
@@ -39,29 +41,28 @@ def site_count(by, n, k=None):
     return max(2, min(5 if k is None else k, 15, n // 5))
 
 
-def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR, partitions=None):
-    """Distinct positions per group with their number of towers, in a fixed layout.
+def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR):
+    """Distinct positions per group with their number of towers, kept by group.
 
     Towers at one place become one weighted point before anything is shuffled by place, so
-    a place with a large part of all towers costs one row per scan task. K-Means draws its
-    first centres by partition: the same layout gives the same centres. The table is written
-    to the checkpoint folder because every fit reads it many times.
+    a place with a large part of all towers costs one row per scan task. The table is written
+    with one folder per group because each fit reads only its own group, and that often.
     """
-    spark = df.sparkSession
     if "operator_name" in by:
         df = with_operator(df, operators, default)
     placed = df.dropna(subset=["lat", "lon"])
     points = placed.groupBy(*by, "lat", "lon").agg(
         F.count(F.lit(1)).cast("double").alias("n_towers")
     )
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = points.repartition(partitions, "lat", "lon")
-    return durable(laid_out.sortWithinPartitions("lat", "lon", *by))
+    if not by:
+        return durable(points)
+    # The key is a JSON text: it tells NULL from blank, and is never taken for a number.
+    return durable(points.withColumn(GROUP, F.to_json(F.struct(*by))), [GROUP])
 
 
 def suggest_sites(
-    df, by=(), k=None, seed=42, max_iter=300, tol=1e-4, parallelism=4,
-    operators=None, default=DEFAULT_OPERATOR, partitions=None,
+    df, by=(), k=None, seed=42, max_iter=300, tol=1e-4, parallelism=8,
+    operators=None, default=DEFAULT_OPERATOR,
 ):
     """Cluster centres of all towers, or of each group: ``by..., site_no, lat, lon, n_towers``.
 
@@ -72,21 +73,20 @@ def suggest_sites(
     by = tuple(by)
     if by not in ((), OPERATOR, TECH, OPERATOR_TECH):
         raise ValueError(f"by is (), {OPERATOR}, {TECH} or {OPERATOR_TECH}, not {by}")
-    points = site_points(df, by, operators, default, partitions)
+    points = site_points(df, by, operators, default)
     weight = F.col("n_towers")
-    moments = [F.sum(weight).cast("bigint").alias("n")]
+    moments = [F.count(F.lit(1)).alias("places"), F.sum(weight).cast("bigint").alias("n")]
     for c in ("lat", "lon"):
         moments += [F.sum(weight * F.col(c)).alias(c), F.sum(weight * F.col(c) ** 2).alias(f"{c}2")]
     # One row per group, each of which is a fit of its own.
-    groups = [g for g in points.groupBy(*by).agg(*moments).collect() if g.n]
-    groups = [g for g in groups if site_count(by, g.n, k)]
-    groups.sort(key=lambda g: -g.n)
+    groups = points.groupBy(*by, *([GROUP] if by else [])).agg(*moments).collect()
+    groups = [g for g in groups if g.places and site_count(by, g.n, k)]
     if not groups:
         return _site_table(df, by, [])
+    groups.sort(key=lambda g: -g.places)
 
     def fit(group):
-        clusters = site_count(by, group.n, k)
-        return _fit(points, by, group, clusters, seed, max_iter, tol)
+        return _fit(points, by, group, site_count(by, group.n, k), seed, max_iter, tol)
 
     pool = ThreadPool(min(parallelism, len(groups)))
     try:
@@ -97,22 +97,23 @@ def suggest_sites(
 
 
 def _fit(points, by, group, clusters, seed, max_iter, tol):
-    members = points
-    if by:
-        members = points.filter(
-            reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(group[c])) for c in by])
-        )
-    vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(members)
+    members = points.filter(F.col(GROUP) == group[GROUP]) if by else points
+    members = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(members)
+    # K-Means draws its first centres by partition, so a fixed layout gives fixed centres.
+    most = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(most, math.ceil(group.places / PLACES_PER_PARTITION))
+    laid_out = members.repartition(partitions, "lat", "lon").sortWithinPartitions("lat", "lon")
+
     variance = sum(group[f"{c}2"] / group.n - (group[c] / group.n) ** 2 for c in ("lat", "lon")) / 2
     step = math.sqrt(tol * max(variance, 0.0) / clusters)
     means = KMeans(
         k=clusters, seed=seed, maxIter=max_iter, tol=step, weightCol="n_towers",
         predictionCol="site",
     )
-    model = means.fit(vectors.select("features", "n_towers"))
-    sizes = dict(
-        model.transform(vectors).groupBy("site").agg(F.sum("n_towers").cast("bigint")).collect()
-    )
+    model = means.fit(laid_out.select("features", "n_towers"))
+    # At most k rows.
+    counted = model.transform(members).groupBy("site").agg(F.sum("n_towers").cast("bigint"))
+    sizes = dict(counted.collect())
     centres = sorted(
         (float(c[0]), float(c[1]), sizes.get(i, 0)) for i, c in enumerate(model.clusterCenters())
     )
@@ -123,7 +124,7 @@ def _fit(points, by, group, clusters, seed, max_iter, tol):
 def _site_table(df, by, rows):
     names = [*by, "site_no", "lat", "lon", "n_towers"]
     types = [pa.string()] * len(by) + [pa.int32(), pa.float64(), pa.float64(), pa.int64()]
-    columns = list(zip(*sorted(rows, key=str))) or [[] for _ in names]
+    columns = list(zip(*rows)) or [[] for _ in names]
     table = pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
     return df.sparkSession.createDataFrame(table)
 
