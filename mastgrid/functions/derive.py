@@ -1,4 +1,7 @@
 """Columns derived from one tower row."""
+import operator
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,10 +126,11 @@ def named_operator(name, operators=None, default=DEFAULT_OPERATOR):
     operators = OPERATORS if operators is None else operators
 
     def among(pairs):
-        match = F.lit(False)
+        by_country = {}
         for mcc, mnc in pairs:
-            match = match | ((F.col("mcc") == mcc) & (F.col("mnc") == mnc))
-        return match
+            by_country.setdefault(mcc, []).append(mnc)
+        matches = [(F.col("mcc") == a) & F.col("mnc").isin(b) for a, b in by_country.items()]
+        return reduce(operator.or_, matches, F.lit(False))
 
     match = among([pair for pair, other in operators.items() if other == name])
     if name == default:

@@ -2,6 +2,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+LARGE_GROUPS = 1000
+
 
 def top(df, k, *order):
     """The first ``k`` rows in a total order; all rows, unordered, if ``k`` is None."""
@@ -35,25 +37,50 @@ def sample_order(df):
     return ["_key", *[c for c in ties if c in df.columns]]
 
 
+def _counts_by_prefix(keyed, *keys):
+    """Rows per leading four hex digits of the sample key: 65,536 counts per group at most."""
+    return keyed.groupBy(*keys, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _rows_before(*keys):
+    """Rows with a lower prefix in the group."""
+    window = Window.partitionBy(*keys).orderBy("_prefix")
+    return F.sum("_rows").over(window) - F.col("_rows")
+
+
+def _with_key(df, seed):
+    keyed = df.withColumn("_key", sample_key(seed))
+    return keyed.withColumn("_prefix", F.substring("_key", 1, 4))
+
+
 def sample_rows(df, n, seed=42):
     """Exactly ``min(n, rows)`` rows: those with the lowest sample keys.
 
-    A first narrow pass counts rows by the key's leading four hex digits (65,536 counts at
-    most) and finds the prefix at which ``n`` rows are reached. The second pass drops every
-    row beyond that prefix at the scan, so the final top-n sees little more than ``n`` rows
-    and not ``n`` rows of every scan task.
+    A first narrow pass counts rows by the prefix of their keys and finds the prefix at which
+    ``n`` rows are reached. The second pass drops every row beyond that prefix at the scan,
+    so the final top-n sees little more than ``n`` rows and not ``n`` rows of every task.
     """
-    keyed = df.withColumn("_key", sample_key(seed))
-    prefix = F.substring("_key", 1, 4)
-    counts = keyed.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
-    before = F.sum("rows").over(Window.orderBy("prefix")) - F.col("rows")
-    needed = counts.select("prefix", before.alias("before")).filter(F.col("before") < n)
-    last = needed.agg(F.max("prefix")).scalar()
-    kept = keyed.filter(prefix <= last)
-    return kept.orderBy(*sample_order(df)).limit(n).drop("_key")
+    keyed = _with_key(df, seed)
+    counts = _counts_by_prefix(keyed).withColumn("_before", _rows_before())
+    last = counts.filter(F.col("_before") < n).agg(F.max("_prefix")).scalar()
+    kept = keyed.filter(F.col("_prefix") <= last)
+    return kept.orderBy(*sample_order(df)).limit(n).drop("_key", "_prefix")
 
 
 def sample_rows_by(df, n, keys, seed=42):
-    """Exactly ``min(n, rows)`` rows of each group: those with the lowest sample keys."""
-    keyed = df.withColumn("_key", sample_key(seed))
-    return first_rows(keyed, n, keys, sample_order(df)).drop("_key")
+    """Exactly ``min(n, rows)`` rows of each group: those with the lowest sample keys.
+
+    The ``LARGE_GROUPS`` largest groups are cut at their prefix as in ``sample_rows``; that
+    many rows at most are broadcast. Any further, smaller groups go on whole.
+    """
+    keyed = _with_key(df, seed)
+    groups = _counts_by_prefix(keyed, *keys).withColumn("_before", _rows_before(*keys))
+    last = F.max(F.when(F.col("_before") < n, F.col("_prefix"))).alias("_last")
+    cuts = groups.groupBy(*keys).agg(last, F.sum("_rows").alias("_total"))
+    largest = cuts.orderBy(F.desc("_total"), *keys).limit(LARGE_GROUPS)
+    largest = largest.select(*[F.col(c).alias(f"_{c}") for c in keys], "_last")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    kept = keyed.join(F.broadcast(largest), same, "left").filter(
+        F.col("_last").isNull() | (F.col("_prefix") <= F.col("_last"))
+    )
+    return first_rows(kept.select(*df.columns, "_key"), n, keys, sample_order(df)).drop("_key")

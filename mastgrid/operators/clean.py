@@ -9,8 +9,8 @@ from mastgrid.schema import DEFAULT_OPERATOR
 def usable_position():
     """Latitude and longitude are both present, not NaN and not zero."""
     lat, lon = F.col("lat"), F.col("lon")
-    present = lat.isNotNull() & lon.isNotNull() & (lat != 0) & (lon != 0)
-    return present & ~F.isnan(lat) & ~F.isnan(lon)
+    present = lat.isNotNull() & lon.isNotNull()  # pushed down to the scan
+    return present & (F.nanvl(lat, F.lit(0.0)) != 0) & (F.nanvl(lon, F.lit(0.0)) != 0)
 
 
 def clean_towers(df):

@@ -1,13 +1,15 @@
 """Map layers as tables: one row per marker, ``layer, lat, lon, radius, color, popup``."""
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mastgrid.functions.derive import operator_color, tech_color, with_operator
 from mastgrid.functions.numeric import clip, round_half_even
 from mastgrid.operators.carriers import region_top_operator
-from mastgrid.operators.region import is_underserved, region_stats
+from mastgrid.operators.region import is_underserved, region_stats, region_underserved
 from mastgrid.operators.sites import OPERATOR, OPERATOR_TECH, TECH, suggest_sites
 from mastgrid.operators.stats import density_grid, tower_sample
 from mastgrid.schema import DEFAULT_OPERATOR
@@ -16,17 +18,11 @@ COLUMNS = ["layer", "lat", "lon", "radius", "color", "popup"]
 
 
 def marker(layer, lat, lon, radius, color, popup):
-    """One layer row as a struct, so that one row of statistics can make several markers."""
+    """The columns of one marker."""
     values = [F.lit(layer), lat.cast("double"), lon.cast("double")]
     values.append(F.lit(None).cast("double") if radius is None else radius.cast("double"))
     values += [F.lit(color) if isinstance(color, str) else color, popup]
-    return F.struct(*[v.alias(name) for name, v in zip(COLUMNS, values)])
-
-
-def place(df, *markers):
-    """The rows of these markers; a NULL marker gives none."""
-    made = markers[0] if len(markers) == 1 else F.explode(F.array(*markers))
-    return df.select(made.alias("m")).filter(F.col("m").isNotNull()).select("m.*")
+    return [value.alias(name) for name, value in zip(COLUMNS, values)]
 
 
 def text(*parts):
@@ -60,38 +56,38 @@ def _samples_marker():
     return marker("region_samples", F.col("lat_r"), F.col("lon_r"), size, "darkgreen", popup)
 
 
-def _underserved_marker(max_towers=10, max_radius=2000):
-    point = marker(
+def _underserved_marker():
+    return marker(
         "underserved", F.col("lat_r"), F.col("lon_r"), F.lit(5), "black", _radius_popup()
     )
-    return F.when(is_underserved(max_towers, max_radius), point)
 
 
 def layer_scatter(df, n=3000, seed=42):
     """A sample of towers in the colours of their technologies."""
-    return place(tower_sample(df, n, seed), _scatter_marker("scatter"))
+    return tower_sample(df, n, seed).select(*_scatter_marker("scatter"))
 
 
 def layer_density(df, size=1.0):
     """Centres of the density grid's cells; all towers count, not a sample."""
     middle = [F.col(c) + size / 2 for c in ("cell_lat", "cell_lon")]
     popup = text("Towers: ", F.col("tower_count"))
-    return place(density_grid(df, size), marker("density", *middle, F.lit(10), "red", popup))
+    return density_grid(df, size).select(*marker("density", *middle, F.lit(10), "red", popup))
 
 
 def layer_region_radius(df, mode="half_up"):
     """Regions sized by mean radius."""
-    return place(region_stats(df, mode=mode), _radius_marker())
+    return region_stats(df, mode=mode).select(*_radius_marker())
 
 
 def layer_region_samples(df, mode="half_up"):
     """Regions sized by mean samples."""
-    return place(region_stats(df, mode=mode), _samples_marker())
+    return region_stats(df, mode=mode).select(*_samples_marker())
 
 
 def layer_underserved(df, max_towers=10, max_radius=2000, mode="half_up"):
     """Regions with few towers of small radius."""
-    return place(region_stats(df, mode=mode), _underserved_marker(max_towers, max_radius))
+    few = region_underserved(df, max_towers, max_radius, mode=mode)
+    return few.select(*_underserved_marker())
 
 
 def layer_top_operator(df, mode="half_up", operators=None, default=DEFAULT_OPERATOR):
@@ -100,13 +96,25 @@ def layer_top_operator(df, mode="half_up", operators=None, default=DEFAULT_OPERA
     point = marker(
         "top_operator", F.col("lat_r"), F.col("lon_r"), F.lit(6), operator_color(), popup
     )
-    return place(region_top_operator(df, mode, operators, default), point)
+    return region_top_operator(df, mode, operators, default).select(*point)
 
 
 def layer_operator_scatter(df, n=1000, seed=42, operators=None, default=DEFAULT_OPERATOR):
     """A sample of each operator's towers in the colours of their technologies."""
     named = with_operator(df, operators, default)
-    return place(tower_sample(named, n, seed, OPERATOR), _scatter_marker("operator_scatter"))
+    sample = tower_sample(named, n, seed, OPERATOR)
+    return sample.select(*_scatter_marker("operator_scatter"))
+
+
+def region_layers(df, mode="half_up"):
+    """The three layers of regional means, from one pass over the towers."""
+    radius, samples, few = (
+        F.struct(*m) for m in (_radius_marker(), _samples_marker(), _underserved_marker())
+    )
+    markers = F.when(is_underserved(), F.array(radius, samples, few)).otherwise(
+        F.array(radius, samples)
+    )
+    return region_stats(df, mode=mode).select(F.inline(markers))
 
 
 # Layer name, grouping, towers shown (None for all), their marker size and colour.
@@ -143,22 +151,28 @@ def layer_sites(
     group = [part for c in by for part in ("-", F.col(c))][1:]
     popup = text("Suggested ", *group, " Tower #" if by else "Tower #", F.col("site_no"))
     point = marker(layer, F.col("lat"), F.col("lon"), None, "red", popup)
-    return place(towers, base).unionByName(place(sites, point))
+    return towers.select(*base).unionByName(sites.select(*point))
 
 
 def map_layers(df, mode="half_up", operators=None, default=DEFAULT_OPERATOR, **options):
-    """Every layer in one table; write it with ``write_result(..., partition_by=["layer"])``.
-
-    The three layers of regional means come from one pass over the towers.
-    """
+    """Every layer in one table; write it with ``write_result(..., partition_by=["layer"])``."""
     named = {"operators": operators, "default": default}
-    regions = [_radius_marker(), _samples_marker(), _underserved_marker()]
+
+    def sites(kind):
+        return layer_sites(df, kind, **named, **options)
+
+    # The four kinds of sites are independent jobs; they share the cluster.
+    pool = ThreadPool(len(SITE_LAYERS))
+    try:
+        with_sites = pool.map(inheritable_thread_target(df.sparkSession)(sites), SITE_LAYERS)
+    finally:
+        pool.close()
     layers = [
         layer_scatter(df),
         layer_density(df),
-        place(region_stats(df, mode=mode), *regions),
+        region_layers(df, mode),
         layer_top_operator(df, mode, **named),
         layer_operator_scatter(df, **named),
-        *[layer_sites(df, kind, **named, **options) for kind in SITE_LAYERS],
+        *with_sites,
     ]
     return reduce(DataFrame.unionByName, layers)

@@ -78,7 +78,9 @@ def top_region_tech_share(df, k=5, mode="half_up"):
     """
     counts = region_tech_count(df, mode=mode)
     regions = counts.groupBy(*REGION).agg(F.sum("tower_count").alias("tower_count"))
-    densest = top(regions, k, *most_towers(*REGION)).select(*REGION)
-    # At most k rows are broadcast.
-    chosen = counts.join(F.broadcast(densest), REGION, "left_semi")
+    densest = top(regions, k, *most_towers(*REGION)).select(*[F.col(c).alias(f"_{c}") for c in REGION])
+    # At most k rows are broadcast. A null-safe inner join leaves both sides of the plan
+    # alike, so they share one exchange; a semi join would be pushed down to the towers.
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in REGION]
+    chosen = counts.join(F.broadcast(densest), same).select(*counts.columns)
     return chosen.orderBy(*REGION, F.desc("tower_count"), F.asc("radio"))

@@ -1,49 +1,30 @@
 """A tower table derived from the ``lineitem`` test table, row for row."""
-from pyspark.sql import functions as F
+
+NETWORKS = "array(260, 260, 410, 480, 480, 120, 410, 260, 4, 30)"
+WEST = "least(4000D / ((l_partkey * 7919 + l_orderkey * 31) % 10007 + 1), 45D)"
+NORTH = "least(4000D / ((l_orderkey * 104729 + l_linenumber * 1299709) % 10009 + 1), 24D)"
+DAY = "(l_orderkey * 31337 + l_linenumber) % 6500"
+
+COLUMNS = [
+    """CASE WHEN l_partkey % 10 < 5 THEN 'LTE' WHEN l_partkey % 10 < 7 THEN 'UMTS'
+       WHEN l_partkey % 10 < 9 THEN 'GSM' ELSE 'NR' END AS radio""",
+    "IF(l_suppkey % 10 IN (3, 4), 311, 310) AS mcc",
+    f"{NETWORKS}[CAST(l_suppkey % 10 AS INT)] AS mnc",
+    "l_suppkey AS area",
+    "l_partkey AS cell",
+    "0 AS unit",
+    f"""CASE WHEN l_orderkey % 101 = 0 THEN NULL WHEN l_orderkey % 97 = 0 THEN 0D
+        WHEN l_linenumber = 1 THEN -75.5D - l_partkey % 40 ELSE -75D - {WEST} END AS lon""",
+    f"""CASE WHEN l_orderkey % 103 = 0 THEN NULL WHEN l_orderkey % 89 = 0 THEN 0D
+        WHEN l_linenumber = 1 THEN 25.5D + l_suppkey % 20 ELSE 25D + {NORTH} END AS lat""",
+    "500 + (l_partkey * 37 + l_orderkey) % 40 * 100 AS range",
+    "CAST(l_quantity AS BIGINT) AS samples",
+    "1 AS changeable",
+    f"1104537600 + {DAY} * 86400 AS created",
+    f"1104537600 + ({DAY} + 30) * 86400 AS updated",
+]
 
 
 def towers_from_lineitem(lineitem):
     """One tower per line item; holds null, zero and exact-half coordinates by design."""
-    order, part = F.col("l_orderkey"), F.col("l_partkey")
-    supplier, line = F.col("l_suppkey"), F.col("l_linenumber")
-    tech, network = part % 10, supplier % 10
-
-    radio = F.when(tech < 5, "LTE").when(tech < 7, "UMTS").when(tech < 9, "GSM").otherwise("NR")
-    mnc = (
-        F.when(network.isin(0, 1, 7), 260)
-        .when(network.isin(2, 6), 410)
-        .when(network.isin(3, 4), 480)
-        .when(network == 5, 120)
-        .when(network == 8, 4)
-        .otherwise(30)
-    )
-    west = F.least(4e3 / ((part * 7919 + order * 31) % 10007 + 1), F.lit(45.0))
-    north = F.least(4e3 / ((order * 104729 + line * 1299709) % 10009 + 1), F.lit(24.0))
-    lon = (
-        F.when(order % 101 == 0, F.lit(None))
-        .when(order % 97 == 0, 0.0)
-        .when(line == 1, -((part % 40 + 75).cast("double")) - 0.5)
-        .otherwise(-75.0 - west)
-    )
-    lat = (
-        F.when(order % 103 == 0, F.lit(None))
-        .when(order % 89 == 0, 0.0)
-        .when(line == 1, (supplier % 20 + 25).cast("double") + 0.5)
-        .otherwise(25.0 + north)
-    )
-    day = (order * 31337 + line) % 6500
-    return lineitem.select(
-        radio.alias("radio"),
-        F.when(network.isin(3, 4), 311).otherwise(310).alias("mcc"),
-        mnc.alias("mnc"),
-        supplier.cast("bigint").alias("area"),
-        part.cast("bigint").alias("cell"),
-        F.lit(0).alias("unit"),
-        lon.alias("lon"),
-        lat.alias("lat"),
-        (500 + (part * 37 + order) % 40 * 100).cast("bigint").alias("range"),
-        F.col("l_quantity").cast("bigint").alias("samples"),
-        F.lit(1).alias("changeable"),
-        (1104537600 + day * 86400).cast("bigint").alias("created"),
-        (1104537600 + (day + 30) * 86400).cast("bigint").alias("updated"),
-    )
+    return lineitem.selectExpr(*COLUMNS)
