@@ -1,4 +1,6 @@
 """Row filters and whole-table counts."""
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,5 +51,13 @@ def by_operator_tech(df, name, radio, operators=None, default=DEFAULT_OPERATOR):
 
 
 def recent_years(df, since=2015):
-    """Towers created in the year ``since`` or later, with ``year``."""
-    return with_year(df).filter(F.col("year") >= since)
+    """Towers created in the year ``since`` or later, with ``year``.
+
+    Where ``created`` holds epoch seconds the start of that year is compared as well; that
+    comparison reaches the scan.
+    """
+    recent = with_year(df).filter(F.col("year") >= since)
+    if "created" in df.columns and df.schema["created"].dataType.typeName() == "long":
+        start = datetime(since, 1, 1, tzinfo=timezone.utc)
+        recent = recent.filter(F.col("created") >= int(start.timestamp()))
+    return recent
