@@ -25,6 +25,10 @@ def duck():
     connection.close()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp": "TIMESTAMP"}
+
+
 def kind(value):
     return "number" if isinstance(value, (int, float)) else type(value).__name__
 
@@ -47,6 +51,8 @@ def test_equals_sql(name, spark, duck):
     expected = duck.execute(ORACLES[name])
     names = [column[0] for column in expected.description]
     assert sorted(result.columns) == sorted(names)
+    types = {column[0]: str(column[1]) for column in expected.description}
+    assert {name: TYPES[dtype] for name, dtype in result.dtypes} == types
     found = rows_by_name(result.columns, [tuple(row) for row in result.collect()])
     wanted = rows_by_name(names, expected.fetchall())
     assert len(found) == len(wanted) > 0
