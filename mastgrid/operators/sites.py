@@ -97,28 +97,42 @@ def suggest_sites(
 
 
 def _fit(points, by, group, clusters, seed, max_iter, tol):
+    """Centres of one group with their towers, in order of latitude and longitude."""
     members = points.filter(F.col(GROUP) == group[GROUP]) if by else points
+    if group.places <= clusters:
+        # No more places than centres: the places are the centres. At most k rows.
+        columns = ["lat", "lon", F.col("n_towers").cast("bigint")]
+        centres = [tuple(row) for row in members.select(*columns).collect()]
+    else:
+        centres = _cluster(members, group, clusters, seed, max_iter, tol)
+    keys = tuple(group[c] for c in by)
+    return [(*keys, i, *centre) for i, centre in enumerate(sorted(centres), start=1)]
+
+
+def _cluster(members, group, clusters, seed, max_iter, tol):
     members = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(members)
     # K-Means draws its first centres by partition, so a fixed layout gives fixed centres.
-    most = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     partitions = min(most, math.ceil(group.places / PLACES_PER_PARTITION))
     laid_out = members.repartition(partitions, "lat", "lon").sortWithinPartitions("lat", "lon")
+    laid_out = laid_out.select("features", "n_towers")
 
     variance = sum(group[f"{c}2"] / group.n - (group[c] / group.n) ** 2 for c in ("lat", "lon")) / 2
-    step = math.sqrt(tol * max(variance, 0.0) / clusters)
+    # The row solver, because the block solver fails if fewer than k first centres are drawn.
     means = KMeans(
-        k=clusters, seed=seed, maxIter=max_iter, tol=step, weightCol="n_towers",
-        predictionCol="site",
+        k=clusters, seed=seed, maxIter=max_iter, tol=math.sqrt(tol * max(variance, 0.0) / clusters),
+        weightCol="n_towers", predictionCol="site", solver="row",
     )
-    model = means.fit(laid_out.select("features", "n_towers"))
+    model = means.fit(laid_out)
+    if len(model.clusterCenters()) < clusters:
+        # Drawing places at random gives k different ones.
+        model = means.setInitMode("random").fit(laid_out)
     # At most k rows.
     counted = model.transform(members).groupBy("site").agg(F.sum("n_towers").cast("bigint"))
     sizes = dict(counted.collect())
-    centres = sorted(
+    return [
         (float(c[0]), float(c[1]), sizes.get(i, 0)) for i, c in enumerate(model.clusterCenters())
-    )
-    keys = tuple(group[c] for c in by)
-    return [(*keys, i, *centre) for i, centre in enumerate(centres, start=1)]
+    ]
 
 
 def _site_table(df, by, rows):

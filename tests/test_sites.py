@@ -41,6 +41,15 @@ def test_small_groups_have_no_sites(spark):
     assert column(sites, "operator_name", "site_no") == [("AT&T US", 1), ("AT&T US", 2)]
 
 
+@pytest.mark.parametrize("places", [1, 4, 5, 6, 7])
+def test_groups_with_few_places(spark, places):
+    rows = [{"lat": 40.0 + i % places} for i in range(40)]
+    sites = mg.suggest_sites_tech(towers(spark, *rows)).collect()
+    assert len(sites) == min(places, 5)
+    assert sum(s.n_towers for s in sites) == 40
+    assert [s.site_no for s in sites] == list(range(1, len(sites) + 1))
+
+
 def test_null_and_blank_groups_stay_apart(spark):
     rows = [{"radio": radio, "lat": 40.0 + i} for radio in (None, "", "4") for i in range(10)]
     sites = mg.suggest_sites_tech(towers(spark, *rows))
