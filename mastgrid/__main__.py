@@ -1,4 +1,4 @@
-"""``spark-submit -m``-style entry: ``python -m mastgrid INPUT OUTPUT [--format csv] [--header]``."""
+"""Write the whole report: ``python -m mastgrid INPUT OUTPUT [--format csv] [--header]``."""
 import argparse
 
 from pyspark.sql import SparkSession

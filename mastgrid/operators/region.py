@@ -6,7 +6,9 @@ from mastgrid.functions.derive import REGION, with_region
 from mastgrid.functions.numeric import round_half_even
 from mastgrid.functions.select import top
 
+
 def most_towers(*ties):
+    """Order by tower count, largest first, then by the columns ``ties``."""
     return [F.desc("tower_count"), *[F.asc(c) for c in ties]]
 
 
@@ -78,7 +80,8 @@ def top_region_tech_share(df, k=5, mode="half_up"):
     """
     counts = region_tech_count(df, mode=mode)
     regions = counts.groupBy(*REGION).agg(F.sum("tower_count").alias("tower_count"))
-    densest = top(regions, k, *most_towers(*REGION)).select(*[F.col(c).alias(f"_{c}") for c in REGION])
+    keys = [F.col(c).alias(f"_{c}") for c in REGION]
+    densest = top(regions, k, *most_towers(*REGION)).select(*keys)
     # At most k rows are broadcast. A null-safe inner join leaves both sides of the plan
     # alike, so they share one exchange; a semi join would be pushed down to the towers.
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in REGION]

@@ -76,7 +76,8 @@ def tech_describe(df):
     Quartiles are exact and interpolated. Equal radii are counted before the percentile, so
     it works on one weighted row per distinct radius.
     """
-    quartiles = F.percentile("range", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("towers"))
+    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    quartiles = F.percentile("range", shares, F.col("towers"))
     sums = range_counts(df, "radio").groupBy("radio").agg(*range_sums(), quartiles.alias("q"))
     n, low, high = F.col("n"), F.col("low"), F.col("high")
     columns = {

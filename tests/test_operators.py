@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rows import column, towers
 
 import mastgrid as mg
+from mastgrid.functions.durable import durable
 from mastgrid.functions.select import first_rows
 from mastgrid.plans.report import summary_tables, write_report
 from mastgrid.plans.summary import tower_summary
@@ -145,6 +146,11 @@ def test_first_rows_of_a_hot_group(spark):
     assert sorted(column(rows, "id")) == [0, 1, 2, 3, 4, 5, 100, 200, 300, 400]
 
 
+def test_durable_tables_are_in_the_shared_folder(spark):
+    kept = durable(towers(spark, {}))
+    assert spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
+
+
 def test_report(spark, tmp_path):
     folder = str(tmp_path / "report")
     write_report(towers_from_lineitem(spark.read.parquet(DATA)), folder, layers=False)
