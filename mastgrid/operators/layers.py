@@ -10,7 +10,7 @@ from mastgrid.functions.derive import operator_color, tech_color, with_operator
 from mastgrid.functions.numeric import clip, round_half_even
 from mastgrid.operators.carriers import region_top_operator
 from mastgrid.operators.region import is_underserved, region_stats, region_underserved
-from mastgrid.operators.sites import OPERATOR, OPERATOR_TECH, TECH, suggest_sites
+from mastgrid.operators.sites import OPERATOR, OPERATOR_TECH, TECH, site_points, suggest_sites
 from mastgrid.operators.stats import density_grid, tower_sample
 from mastgrid.schema import DEFAULT_OPERATOR
 
@@ -158,8 +158,12 @@ def map_layers(df, mode="half_up", operators=None, default=DEFAULT_OPERATOR, **o
     """Every layer in one table; write it with ``write_result(..., partition_by=["layer"])``."""
     named = {"operators": operators, "default": default}
 
+    # One pass over the towers gives the points of all four kinds of sites.
+    points = site_points(df, OPERATOR_TECH, **named)
+
     def sites(kind):
-        return layer_sites(df, kind, **named, **options)
+        found = suggest_sites(points, SITE_LAYERS[kind][1], **options)
+        return layer_sites(df, kind, found, **named)
 
     # The four kinds of sites are independent jobs; they share the cluster.
     pool = ThreadPool(len(SITE_LAYERS))

@@ -47,13 +47,15 @@ def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR):
     Towers at one place become one weighted point before anything is shuffled by place, so
     a place with a large part of all towers costs one row per scan task. The table is written
     with one folder per group because each fit reads only its own group, and that often.
+
+    The points of a finer grouping stand in for the towers: ``suggest_sites`` of points per
+    operator and technology gives, for any ``by``, what it gives of the towers.
     """
     if "operator_name" in by:
         df = with_operator(df, operators, default)
+    towers = F.sum("n_towers") if "n_towers" in df.columns else F.count(F.lit(1)).cast("double")
     placed = df.dropna(subset=["lat", "lon"])
-    points = placed.groupBy(*by, "lat", "lon").agg(
-        F.count(F.lit(1)).cast("double").alias("n_towers")
-    )
+    points = placed.groupBy(*by, "lat", "lon").agg(towers.alias("n_towers"))
     if not by:
         return durable(points)
     # The key is a JSON text: it tells NULL from blank, and is never taken for a number.

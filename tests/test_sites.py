@@ -3,7 +3,14 @@ from pyspark.sql import functions as F
 from rows import column, towers
 
 import mastgrid as mg
-from mastgrid.operators.sites import OPERATOR, OPERATOR_TECH, TECH, site_count, suggest_sites
+from mastgrid.operators.sites import (
+    OPERATOR,
+    OPERATOR_TECH,
+    TECH,
+    site_count,
+    site_points,
+    suggest_sites,
+)
 from mastgrid.sources.lineitem import towers_from_lineitem
 
 DATA = "/root/testdata/sf0.001/lineitem.parquet"
@@ -89,6 +96,14 @@ def test_sites_repeat(clean):
     ]
 
 
+@pytest.mark.parametrize("by", [(), OPERATOR, OPERATOR_TECH])
+def test_points_stand_in_for_the_towers(clean, by):
+    points = site_points(clean, OPERATOR_TECH)
+    from_points = [tuple(row) for row in suggest_sites(points, by).collect()]
+    from_towers = [tuple(row) for row in suggest_sites(clean, by).collect()]
+    assert from_points == [pytest.approx(row) for row in from_towers]
+
+
 def test_site_layers(clean):
     layer = mg.layer_sites(clean, "tech")
     base = layer.filter("popup IS NULL")
