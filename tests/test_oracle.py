@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as driver  # noqa: E402
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = driver.tower_queries(), driver.tower_sql()
 NO_SQL = {
     "suggest_sites_all", "suggest_sites_operator", "suggest_sites_tech",
     "suggest_sites_operator_tech", "layer_sites", "map_layers",
