@@ -1,7 +1,7 @@
 """The registered queries of this package and the SQL each is checked against."""
 from pyspark.sql import functions as F
 
-from mastgrid.llm import pii, quality
+from mastgrid.llm import chat, line_dedup, mixing, pii, quality
 
 
 def table(spark, sf_dir, name):
@@ -33,7 +33,28 @@ def op7_quality(spark, sf_dir):
     )
 
 
+def op3_line_dedup(spark, sf_dir):
+    """What line removal does to every text of ``documents``."""
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", "n_spans",
+                       F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op5_chat(spark, sf_dir):
+    """The maximal conversations of ``conversations``, rendered."""
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+def op6_mixing(spark, sf_dir):
+    """How often each row of ``documents`` is used under the default mixture."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "copies", "weight_ppm")
+
+
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
+    "op5_chat": op5_chat,
+    "op6_mixing": op6_mixing,
     "op1_pii": op1_pii,
     "op7_quality": op7_quality,
 }
@@ -75,8 +96,95 @@ WITH d AS (
 )
 """
 
+MIXING_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(source, '') AS s,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n,
+    CAST('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 15) AS BIGINT) AS key
+  FROM documents
+), totals AS (
+  SELECT s, CAST(sum(n) AS DOUBLE) AS n FROM d GROUP BY s HAVING sum(n) > 0
+), shares AS (
+  SELECT s, n, n / (SELECT sum(n) FROM totals) AS p FROM totals
+), flat AS (
+  SELECT list(p ORDER BY s) AS p, max(p) / min(p) AS spread, ln(count(*)) AS equal FROM shares
+), halved AS (
+  SELECT 0 AS step, 0e0 AS lo, 1e0 AS hi, 0e0 AS lo2, 1e0 AS hi2
+  UNION ALL
+  SELECT step + 1, CASE WHEN fits THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN fits THEN hi ELSE (lo + hi) / 2 END, CASE WHEN few THEN (lo2 + hi2) / 2 ELSE lo2 END,
+    CASE WHEN few THEN hi2 ELSE (lo2 + hi2) / 2 END
+  FROM (SELECT *, pow(spread, (lo2 + hi2) / 2) <= {mixing.MAX_REPEATS} AS few,
+      ln(list_sum(list_transform(p, lambda x: pow(x, (lo + hi) / 2))))
+        - list_sum(list_transform(p, lambda x: pow(x, (lo + hi) / 2) * ln(pow(x, (lo + hi) / 2))))
+        / list_sum(list_transform(p, lambda x: pow(x, (lo + hi) / 2)))
+        >= {mixing.TARGET_ENTROPY} * equal AS fits
+    FROM halved, flat WHERE step < {mixing.STEPS})
+), alpha AS (
+  SELECT greatest(CASE WHEN ln(list_sum(p)) - list_sum(list_transform(p, lambda x: x * ln(x)))
+      / list_sum(p) >= {mixing.TARGET_ENTROPY} * equal THEN 1e0 ELSE lo END,
+    CASE WHEN spread <= {mixing.MAX_REPEATS} THEN 0e0 ELSE 1 - lo2 END) AS a
+  FROM halved, flat WHERE step = {mixing.STEPS}
+), weights AS (
+  SELECT s, n, greatest(1, round(pow(p, a) / (SELECT sum(pow(p, a)) FROM shares, alpha) * 1e6)) AS w
+  FROM shares, alpha
+), plan AS (
+  SELECT s, n, w, greatest(n, floor((SELECT max(ceil(n * 1e6 / w)) FROM weights) * w / 1e6)) AS target
+  FROM weights
+), upto AS (
+  SELECT d.*, w, floor(target / plan.n) AS passes, target % plan.n AS rest,
+    sum(d.n) OVER (PARTITION BY s ORDER BY key RANGE UNBOUNDED PRECEDING) AS upto
+  FROM d LEFT JOIN plan USING (s)
+)
+SELECT doc_id, source,
+  CAST(coalesce(passes + CASE WHEN upto <= rest THEN 1 ELSE 0 END, 1) AS BIGINT) AS copies,
+  CAST(coalesce(w, 0) AS BIGINT) AS weight_ppm FROM upto"""
+
 ORACLES = {
     "op7_quality": QUALITY_SQL + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines,
       n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines,
       n_capitals, fail_bits FROM bits""",
+    "op3_line_dedup": """
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), w AS (
+  SELECT doc_id, i, lines[i:i+2] AS key FROM (
+    SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM d)
+), later AS (
+  SELECT doc_id, i FROM w
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, i) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS line FROM later
+), numbered AS (
+  SELECT doc_id, unnest(lines) AS said, generate_subscripts(lines, 1) AS line FROM d
+), marked AS (
+  SELECT n.*, c.line IS NOT NULL AS gone FROM numbered n LEFT JOIN covered c USING (doc_id, line)
+), spans AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY line), false) AS begins
+  FROM marked
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed,
+  CAST(count(*) FILTER (begins) AS BIGINT) AS n_spans,
+  sha256(coalesce(string_agg(said, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS kept_sha256
+FROM spans GROUP BY doc_id""",
+    "op5_chat": """
+WITH t AS (
+  SELECT conv_id, role, text, CAST(row_number() OVER w AS INT) AS pos,
+    list({'role': role, 'text': text}) OVER w AS said
+  FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+    ROWS UNBOUNDED PRECEDING)
+), n AS (
+  SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM t
+), whole AS (
+  SELECT said, min(conv_id) AS conv_id, count(*) AS n_logs FROM n WHERE pos = n GROUP BY said
+), kept AS (
+  SELECT * FROM whole WHERE NOT EXISTS (
+    SELECT 1 FROM n WHERE n.pos < n.n AND n.said = whole.said)
+)
+SELECT conv_id, CAST(len(said) AS BIGINT) AS n_turns, CAST(n_logs AS BIGINT) AS n_logs,
+  array_to_string(list_transform(said, lambda x: '<|im_start|>' || coalesce(x.role, 'unknown')
+    || chr(10) || coalesce(x.text, '') || '<|im_end|>' || chr(10)), '') AS text
+FROM kept""",
+    "op6_mixing": MIXING_SQL,
 }
