@@ -41,7 +41,9 @@ def repeated(found):
     return later.groupBy("at").agg(F.collect_set("pos").alias("positions"))
 
 
-@F.pandas_udf("struct<text:string,n_lines:bigint,n_removed:bigint,n_spans:bigint>")
+RESULT = "struct<text:string,n_lines:bigint,n_removed:bigint,n_spans:bigint>"
+
+
 def _without(texts: pd.Series, positions: pd.Series) -> pd.DataFrame:
     out = []
     for text, starts in zip(texts, positions):
@@ -65,4 +67,4 @@ def dedup_lines(docs):
     rows = _identified(docs)
     marks = repeated(windows(rows)).select(F.col("at").alias("m"), "positions")
     joined = rows.join(marks, F.col("at").eqNullSafe(F.col("m")), "left")
-    return joined.select("doc_id", _without("text", "positions").alias("r")).select("doc_id", "r.*")
+    return joined.select("doc_id", F.pandas_udf(_without, RESULT)("text", "positions").alias("r")).select("doc_id", "r.*")

@@ -1,7 +1,9 @@
 """The registered queries of this package and the SQL each is checked against."""
 from pyspark.sql import functions as F
 
-from mastgrid.llm import chat, line_dedup, mixing, pii, quality
+from mastgrid.llm import (
+    chat, decontaminate, line_dedup, mixing, pii, quality, token_count, token_shards,
+)
 
 
 def table(spark, sf_dir, name):
@@ -33,6 +35,17 @@ def op7_quality(spark, sf_dir):
     )
 
 
+def op2_decontaminate(spark, sf_dir):
+    """Benchmark passages in every text of ``documents``."""
+    found = decontaminate.find_passages(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = decontaminate.n_hit()
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"))
+
+
 def op3_line_dedup(spark, sf_dir):
     """What line removal does to every text of ``documents``."""
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -51,12 +64,26 @@ def op6_mixing(spark, sf_dir):
     return mixed.select("doc_id", "source", "copies", "weight_ppm")
 
 
+def op9_token_count(spark, sf_dir):
+    """Token counts of every text of ``documents``."""
+    counted = token_count.count_tokens(table(spark, sf_dir, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op10_token_shards(spark, sf_dir):
+    """Every token sequence of ``documents`` at its place in the training order."""
+    return token_shards.training_order(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_line_dedup": op3_line_dedup,
     "op5_chat": op5_chat,
     "op6_mixing": op6_mixing,
     "op1_pii": op1_pii,
     "op7_quality": op7_quality,
+    "op9_token_count": op9_token_count,
+    "op10_token_shards": op10_token_shards,
 }
 
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -144,6 +171,33 @@ ORACLES = {
     "op7_quality": QUALITY_SQL + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines,
       n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines,
       n_capitals, fail_bits FROM bits""",
+    "op2_decontaminate": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item_id, w[i:i + least(10, len(w)) - 1] AS key FROM (
+    SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT len(key) AS n FROM patterns
+), places AS (
+  SELECT doc_id, i, n, w[i:i + n - 1] AS key FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)
+), hits AS (
+  SELECT doc_id, i, n, item_id FROM places JOIN patterns USING (key)
+), words AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op3_line_dedup": """
 WITH d AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
