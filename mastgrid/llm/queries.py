@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from mastgrid.llm import (
-    chat, decontaminate, line_dedup, mixing, pii, quality, token_count, token_shards,
+    bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, token_count, token_shards,
 )
 
 
@@ -64,6 +64,11 @@ def op6_mixing(spark, sf_dir):
     return mixed.select("doc_id", "source", "copies", "weight_ppm")
 
 
+def op4_near_dedup(spark, sf_dir):
+    """The near-duplicate class of every row of ``documents``."""
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_token_count(spark, sf_dir):
     """Token counts of every text of ``documents``."""
     counted = token_count.count_tokens(table(spark, sf_dir, "documents"))
@@ -78,6 +83,7 @@ def op10_token_shards(spark, sf_dir):
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_line_dedup": op3_line_dedup,
+    "op4_near_dedup": op4_near_dedup,
     "op5_chat": op5_chat,
     "op6_mixing": op6_mixing,
     "op1_pii": op1_pii,
