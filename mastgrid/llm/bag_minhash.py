@@ -11,6 +11,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from mastgrid.functions.durable import durable
 from mastgrid.llm.components import components
@@ -20,8 +21,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: 30 bands of 5: a pair at 0.8 shares no band with probability 7e-6.
 BANDS, BAND_ROWS = 30, 5
 BLOCK_ROWS = 2_048
-#: Rounds in which unconnected members of a bucket are compared with one of them only.
-STAR_ROUNDS = 4
+#: Rounds in which unconnected members of a bucket are compared with one of them.
+STAR_ROUNDS = 2
 SCHEMA = "doc_id bigint, k1 bigint, k2 bigint, n_shingles bigint, bands array<bigint>"
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -162,7 +163,7 @@ def _overlaps(batches):
             _, p, q = np.intersect1d(s[x], s2[y], assume_unique=True, return_indices=True)
             common = int(np.minimum(c[x][p], c2[y][q]).sum())
             joint = int(c[x].sum() + c2[y].sum()) - common
-            keep.append(joint > 0 and common >= SIMILARITY * joint)
+            keep.append(joint > 0 and common >= SIMILARITY * joint - 1e-9)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))],
             ["u", "v"])
@@ -173,13 +174,12 @@ def _verified(pairs, docs):
 
     Texts of the ids in question are fetched once, then joined to both sides of the pairs.
     """
-    pairs = durable(pairs)
     ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
     texts = durable(docs.select("doc_id", "text").join(ids, "doc_id"))
     one = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a"))
     other = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
     both = pairs.join(one, "u").join(other, "v").select("u", "v", "a", "b")
-    return pairs, durable(both.mapInArrow(_overlaps, "u bigint, v bigint").distinct())
+    return durable(both.mapInArrow(_overlaps, "u bigint, v bigint").distinct())
 
 
 def near_duplicates(docs):
@@ -191,10 +191,9 @@ def near_duplicates(docs):
     one id are one document. Rows without an id are compared with none; their class is NULL.
 
     Different texts that share a band are linked if their similarity is at least 0.8; classes
-    are the connected components. A bucket's members are first compared with one of them, the
-    first in an order that changes by round; members still in other components then go
-    through further rounds, and what is left after those is compared in full, so no link
-    between components is lost however large the bucket.
+    are the connected components. A bucket's members are first compared with one of them, in
+    a few rounds; those still in other components are then compared by an exact prefix filter,
+    so no link between components is lost and no group is compared pair by pair.
     """
     named = docs.filter("doc_id IS NOT NULL")
     signed = durable(named.select("doc_id", "text").mapInArrow(_sign, SCHEMA))
@@ -205,18 +204,16 @@ def near_duplicates(docs):
     banded = distinct.select("rep", F.posexplode("bands").alias("band", "h"))
     shared = banded.groupBy("band", "h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = durable(banded.join(shared, ["band", "h"]).select("band", "h", "rep"))
-    labels, links, tested, turn = None, None, None, 0
-    while True:
-        pairs = _proposals(members, labels, tested, turn)
-        pairs, found = _verified(pairs, named)
+    labels = links = None
+    for turn in range(STAR_ROUNDS + 1):
+        rows, open_ = _open(members, labels, turn)
+        pairs = _stars(rows, open_) if turn < STAR_ROUNDS else _leftover(rows, open_, named)
+        pairs = durable(pairs)
         if pairs.isEmpty():
             break
-        tested = pairs if tested is None else durable(tested.union(pairs))
+        found = _verified(pairs, named)
         links = found if links is None else links.union(found)
         labels = components(links)
-        if turn == STAR_ROUNDS:
-            break
-        turn += 1
     classes = distinct.select("k1", "k2", "rep")
     if labels is not None:
         classes = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
@@ -230,11 +227,10 @@ def near_duplicates(docs):
     return found.union(nameless)
 
 
-def _proposals(members, labels, tested, turn):
-    """Pairs of representatives to compare: in each bucket, against one of its members.
+def _open(members, labels, turn):
+    """Members with the label of their component, and the buckets that hold several.
 
-    Only buckets that still hold two components take part, and only pairs across components
-    that were not compared before. In the last round each member meets all others across.
+    Each bucket has a chosen member, the first in an order that changes by turn.
     """
     if labels is None:
         rows = members.withColumn("label", F.col("rep"))
@@ -242,18 +238,69 @@ def _proposals(members, labels, tested, turn):
         rows = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
             "band", "h", "rep", F.coalesce("label", "rep").alias("label"))
     chosen = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "label")).alias("c")
-    open_ = rows.groupBy("band", "h").agg(
+    return rows, rows.groupBy("band", "h").agg(
         chosen, F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    if turn < STAR_ROUNDS:
-        pairs = rows.join(open_, ["band", "h"]).filter(F.col("label") != F.col("c.label"))
-        pairs = pairs.select("rep", F.col("c.rep").alias("other"))
-    else:
-        left = rows.join(open_.select("band", "h"), ["band", "h"])
-        right = left.select("band", "h", F.col("rep").alias("other"), F.col("label").alias("l2"))
-        pairs = left.join(right, ["band", "h"]).filter("label < l2")
-    pairs = pairs.select(
-        F.least("rep", "other").alias("u"), F.greatest("rep", "other").alias("v")).distinct()
-    return pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti")
+
+
+def _pairs(rows, one, other):
+    return rows.select(F.least(one, other).alias("u"), F.greatest(one, other).alias("v")).distinct()
+
+
+def _stars(rows, open_):
+    """In each open bucket, the chosen member with those of other components."""
+    pairs = rows.join(open_, ["band", "h"]).filter(F.col("label") != F.col("c.label"))
+    return _pairs(pairs, "rep", "c.rep")
+
+
+def _tokens(batches):
+    """``rep, label, size, token``: each shingle once per occurrence, numbered."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(2))
+        for a, z in blocks(offsets):
+            _, _, hashes, first = words(data, offsets[a:z + 1])
+            shingle, rows, count = multisets(*shingles(hashes, first))
+            ends = np.cumsum(count)
+            turn = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count)
+            token = mixed(np.repeat(shingle, count) + turn.astype(np.uint64) * C)
+            rows = np.repeat(rows, count)
+            size = np.bincount(rows, minlength=z - a)
+            at = pa.array(rows + a)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(size[rows]),
+                 pa.array(token.view(np.int64))], ["rep", "label", "size", "token"])
+
+
+def _leftover(rows, open_, docs):
+    """All pairs across components, among members of open buckets, that may be similar enough.
+
+    With shingles in order of rarity, two multisets of similarity s share one among the first
+    size - s * size + 1 of either, and at the first one shared, what follows bounds the
+    overlap. A group of texts that each differ from the rest in too many shingles of their own
+    thus proposes no pair, whatever its size.
+    """
+    ids = rows.join(open_.select("band", "h"), ["band", "h"]).select(
+        F.col("rep").alias("doc_id"), "label").distinct()
+    texts = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "label", "text")
+    tokens = durable(texts.mapInArrow(
+        _tokens, "rep bigint, label bigint, size bigint, token bigint").distinct())
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    # Tokens of one text only come first in its order and pair with none.
+    ranked = tokens.join(often, "token", "left").withColumn("often", F.coalesce("often", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("often", "token"))
+    ranked = ranked.withColumn("rest", F.col("size") - place + 1).filter(
+        f"rest >= ceil({SIMILARITY} * size - 1e-9) AND often > 1")
+    most = (1 + SIMILARITY) / SIMILARITY * F.col("rest") - F.col("size") + 1e-9
+    ranked = durable(ranked.withColumn("most", most))
+    groups = ranked.groupBy("token").agg(
+        F.min("size").alias("smallest"), F.min("label").alias("low"), F.max("label").alias("high"))
+    groups = groups.filter("low <> high").select("token", "smallest")
+    left = ranked.join(groups, "token").filter("smallest <= most").select(
+        "token", "rep", "label", "size", "most")
+    right = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("rep", "label", "size", "most")])
+    pairs = left.join(right, "token").filter(
+        f"""label < label2 AND size2 <= most AND size <= most2
+        AND size2 >= {SIMILARITY} * size - 1e-9 AND size >= {SIMILARITY} * size2 - 1e-9""")
+    return _pairs(pairs, "rep", "rep2")
 
 
 def keep_first(docs):
