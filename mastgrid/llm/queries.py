@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from mastgrid.llm import (
-    bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, token_count, token_shards,
+    bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, suffix_dedup, token_count, token_shards,
 )
 
 
@@ -69,6 +69,13 @@ def op4_near_dedup(spark, sf_dir):
     return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    """What the removal of repeated 100-byte strings does to every text of ``documents``."""
+    rows = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_token_count(spark, sf_dir):
     """Token counts of every text of ``documents``."""
     counted = token_count.count_tokens(table(spark, sf_dir, "documents"))
@@ -88,6 +95,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op1_pii": op1_pii,
     "op7_quality": op7_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_count": op9_token_count,
     "op10_token_shards": op10_token_shards,
 }
