@@ -105,7 +105,8 @@ def _find_runs(batches):
         group = np.cumsum(new_hash[new]) - 1
         several = (np.bincount(group) > 1) | (np.bincount(group, tied) > 0) if len(h) else group
         many = several[group] if len(h) else tied
-        yield _table(COMPARE, doc[many], 0, doc[many], start[many], n[many])
+        # By content, not by hash: copies in other shards meet, and a common hash spreads.
+        yield _table(COMPARE, content[many], h[many], doc[many], start[many], n[many])
         marks = np.unique(h[many])
         yield _table(SEVERAL, marks, 0, np.zeros(len(marks), int), 0, 0)
         one = ~many
@@ -133,8 +134,8 @@ def _compare_shards(batches):
     carried, several, told = None, False, False
     for batch in batches:
         kind, h1, h2, doc, start, n = _columns(batch)
-        done = (kind == COVERED) | (kind == COMPARE)
-        yield _table(kind[done], doc[done], 0, doc[done], start[done], n[done])
+        done = kind == COVERED
+        yield _table(COVERED, doc[done], 0, doc[done], start[done], n[done])
         columns = [x[~done] for x in (kind, h1, h2, doc, start, n)]
         if carried is not None:
             columns = [np.append(c, x) for c, x in zip(carried, columns)]
@@ -144,7 +145,7 @@ def _compare_shards(batches):
         new_hash = np.append(True, h1[1:] != h1[:-1])
         new = new_hash | np.append(True, (h2[1:] != h2[:-1]) | (kind[1:] != kind[:-1]))
         group = np.cumsum(new_hash) - 1
-        many = (np.bincount(group, new) > 1) | (np.bincount(group, kind == SEVERAL) > 0)
+        many = (np.bincount(group, new) > 1) | (np.bincount(group, kind != RUN) > 0)
         ghost = carried is not None
         if ghost and several:
             many[0] = True
@@ -152,7 +153,7 @@ def _compare_shards(batches):
         if ghost and told:
             fresh[0] = False
         yield from _covered_later(new, doc, start, n)
-        tell = new & many[group] & (kind == RUN) & fresh
+        tell = new & many[group] & (kind != SEVERAL) & fresh
         yield _table(COMPARE, doc[tell], 0, doc[tell], start[tell], n[tell])
         # Carry the first row of the last content on, and whether it was told.
         at = np.flatnonzero(new)[-1]
@@ -256,7 +257,8 @@ def _compare_windows(batches):
             at = place[new]
             h1 = FIRST_HASH.of(sums, at, at + SIZE)
             h2 = SECOND_HASH.of(SECOND_HASH.prefixes(text), at, at + SIZE)
-            yield _table(WINDOW, h1, h2, doc[new], start[new], 1)
+            # 96 bits tell windows of different tasks apart.
+            yield _table(WINDOW, h1, h2 >> np.uint64(32), doc[new], start[new], 1)
 
 
 def _later_windows(batches):
