@@ -169,13 +169,8 @@ def _overlaps(batches):
             ["u", "v"])
 
 
-def _verified(pairs, docs):
-    """The pairs ``u, v`` that are similar enough, by their texts.
-
-    Texts of the ids in question are fetched once, then joined to both sides of the pairs.
-    """
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
-    texts = durable(docs.select("doc_id", "text").join(ids, "doc_id"))
+def _verified(pairs, texts):
+    """The pairs ``u, v`` that are similar enough, by their texts."""
     one = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a"))
     other = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
     both = pairs.join(one, "u").join(other, "v").select("u", "v", "a", "b")
@@ -204,14 +199,21 @@ def near_duplicates(docs):
     banded = distinct.select("rep", F.posexplode("bands").alias("band", "h"))
     shared = banded.groupBy("band", "h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = durable(banded.join(shared, ["band", "h"]).select("band", "h", "rep"))
-    labels = links = None
-    for turn in range(STAR_ROUNDS + 1):
+    # All that is compared is among these texts; they are fetched once, whatever their number.
+    ids = members.select(F.col("rep").alias("doc_id")).distinct()
+    texts = durable(named.select("doc_id", "text").join(ids.hint("merge"), "doc_id"))
+    labels = links = tokens = None
+    for turn in range(STAR_ROUNDS + 2):
         rows, open_ = _open(members, labels, turn)
-        pairs = _stars(rows, open_) if turn < STAR_ROUNDS else _leftover(rows, open_, named)
+        if turn < STAR_ROUNDS:
+            pairs = _stars(rows, open_)
+        else:
+            tokens = tokens or _rare_tokens(rows, open_, texts)
+            pairs = _token_pairs(tokens, labels, turn == STAR_ROUNDS)
         pairs = durable(pairs)
         if pairs.isEmpty():
             break
-        found = _verified(pairs, named)
+        found = _verified(pairs, texts)
         links = found if links is None else links.union(found)
         labels = components(links)
     classes = distinct.select("k1", "k2", "rep")
@@ -270,17 +272,17 @@ def _tokens(batches):
                  pa.array(token.view(np.int64))], ["rep", "label", "size", "token"])
 
 
-def _leftover(rows, open_, docs):
-    """All pairs across components, among members of open buckets, that may be similar enough.
+def _rare_tokens(rows, open_, texts):
+    """``token, rep, size, most``: the rarest shingles of members of buckets still open.
 
     With shingles in order of rarity, two multisets of similarity s share one among the first
-    size - s * size + 1 of either, and at the first one shared, what follows bounds the
-    overlap. A group of texts that each differ from the rest in too many shingles of their own
-    thus proposes no pair, whatever its size.
+    size - s * size + 1 of either; ``most`` is the largest partner that what follows allows. A
+    group of texts that each differ from the rest in too many shingles of their own thus
+    proposes no pair, whatever its size.
     """
     ids = rows.join(open_.select("band", "h"), ["band", "h"]).select(
         F.col("rep").alias("doc_id"), "label").distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "label", "text")
+    texts = texts.join(ids, "doc_id").select("doc_id", "label", "text")
     tokens = durable(texts.mapInArrow(
         _tokens, "rep bigint, label bigint, size bigint, token bigint").distinct())
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
@@ -290,17 +292,33 @@ def _leftover(rows, open_, docs):
     ranked = ranked.withColumn("rest", F.col("size") - place + 1).filter(
         f"rest >= ceil({SIMILARITY} * size - 1e-9) AND often > 1")
     most = (1 + SIMILARITY) / SIMILARITY * F.col("rest") - F.col("size") + 1e-9
-    ranked = durable(ranked.withColumn("most", most))
-    groups = ranked.groupBy("token").agg(
-        F.min("size").alias("smallest"), F.min("label").alias("low"), F.max("label").alias("high"))
-    groups = groups.filter("low <> high").select("token", "smallest")
-    left = ranked.join(groups, "token").filter("smallest <= most").select(
-        "token", "rep", "label", "size", "most")
-    right = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("rep", "label", "size", "most")])
-    pairs = left.join(right, "token").filter(
-        f"""label < label2 AND size2 <= most AND size <= most2
-        AND size2 >= {SIMILARITY} * size - 1e-9 AND size >= {SIMILARITY} * size2 - 1e-9""")
-    return _pairs(pairs, "rep", "rep2")
+    return durable(ranked.select("token", "rep", "size", most.alias("most")))
+
+
+def _token_pairs(tokens, labels, stars):
+    """Pairs across components that share a rare token: with one per token, or all."""
+    rows = tokens
+    if labels is not None:
+        rows = rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+        rows = rows.withColumn("label", F.coalesce("label", "rep"))
+    else:
+        rows = rows.withColumn("label", F.col("rep"))
+    # The smallest text allows the most partners.
+    chosen = F.min(F.struct("size", F.xxhash64("rep").alias("o"), "rep", "label", "most"))
+    groups = rows.groupBy("token").agg(
+        chosen.alias("c"), F.min("size").alias("smallest"), F.min("label").alias("low"),
+        F.max("label").alias("high")).filter("low <> high")
+    left = rows.join(groups, "token").filter("smallest <= most")
+    other = [F.col(f"c.{c}").alias(f"{c}2") for c in ("rep", "label", "size", "most")]
+    if stars:
+        pairs = rows.join(groups, "token").select("*", *other)
+    else:
+        right = left.select("token", *[
+            F.col(c).alias(f"{c}2") for c in ("rep", "label", "size", "most")])
+        pairs = left.join(right, "token").filter("label < label2")
+    return _pairs(pairs.filter(f"""label <> label2 AND size2 <= most AND size <= most2
+        AND size2 >= {SIMILARITY} * size - 1e-9 AND size >= {SIMILARITY} * size2 - 1e-9"""),
+        "rep", "rep2")
 
 
 def keep_first(docs):
