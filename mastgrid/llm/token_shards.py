@@ -120,7 +120,7 @@ def training_order(docs, length=LENGTH, per_shard=PER_SHARD, key=KEY, ranks=None
         "slot", shard.alias("shard"), (F.expr(f"slot % {per_shard}") * 2 * length).alias("byte_offset"),
         "doc_id", "seq_no", "n_tokens", "tokens")
     shards = max(1, -(-n // per_shard))
-    rows = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
+    rows = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
     return rows.withColumn("record", record).drop("tokens")
 
 
