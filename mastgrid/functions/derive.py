@@ -58,8 +58,10 @@ def with_year(df):
         stamp = parse_time(df, "created")
         number = F.col("created").try_cast("bigint")
         return df.withColumn("year", F.coalesce(epoch_year(number), F.year(stamp)))
-    if dtype in ("timestamp", "timestamp_ntz", "date"):
+    if dtype in ("timestamp_ntz", "date"):
         return df.withColumn("year", F.year("created"))
+    if dtype == "timestamp":
+        return df.withColumn("year", epoch_year(F.unix_seconds("created")))
     return df.withColumn("year", epoch_year(F.col("created")))
 
 

@@ -33,7 +33,8 @@ def sample_key(seed):
 
 def sample_order(df):
     """Columns that settle the order of towers with the same sample key."""
-    ties = ["samples", "range", "lat", "lon", "radio", "mcc", "mnc", "updated"]
+    ties = ["samples", "range", "lat", "lon", "radio", "mcc", "mnc", "updated", "changeable",
+            "average_signal"]
     return ["_key", *[c for c in ties if c in df.columns]]
 
 

@@ -117,7 +117,9 @@ def region_layers(df, mode="half_up"):
     return region_stats(df, mode=mode).select(F.inline(markers))
 
 
-# Layer name, grouping, towers shown (None for all), their marker size and colour.
+USUAL = object()
+
+# Layer name, grouping, towers usually shown (None for all), their marker size and colour.
 SITE_LAYERS = {
     "all": ("sites_all", (), 1500, 1, "gray"),
     "operator": ("sites_operator", OPERATOR, 1000, 1, "blue"),
@@ -127,14 +129,17 @@ SITE_LAYERS = {
 
 
 def layer_sites(
-    df, kind="all", sites=None, seed=42, operators=None, default=DEFAULT_OPERATOR, **options
+    df, kind="all", sites=None, seed=42, operators=None, default=DEFAULT_OPERATOR, n=USUAL, **options
 ):
     """Suggested sites over the towers they were drawn from.
 
     ``kind`` is all, operator, tech or operator_tech. ``sites`` takes the result of an
-    earlier ``suggest_sites`` of that kind; otherwise it is computed here.
+    earlier ``suggest_sites`` of that kind; otherwise it is computed here. ``n`` towers of
+    each group are shown, or all with None; ``SITE_LAYERS`` has the usual numbers. Groups
+    named NULL are kept, as "unknown" in the popup.
     """
     layer, by, shown, size, color = SITE_LAYERS[kind]
+    shown = shown if n is USUAL else n
     if "operator_name" in by:
         df = with_operator(df, operators, default)
     if sites is None:
@@ -142,28 +147,37 @@ def layer_sites(
     towers = df if shown is None else tower_sample(df, shown, seed, by)
     if by:
         # Only groups that have sites. Their list is a local table whose size Spark knows.
-        towers = towers.join(sites.select(*by).distinct(), list(by), "left_semi")
+        groups = sites.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        towers = towers.join(groups, same, "left_semi")
     elif sites.isEmpty():
         towers = towers.limit(0)
     base = marker(
         layer, F.col("lat"), F.col("lon"), F.lit(size), color, F.lit(None).cast("string")
     )
-    group = [part for c in by for part in ("-", F.col(c))][1:]
+    group = [part for c in by for part in ("-", F.coalesce(c, F.lit("unknown")))][1:]
     popup = text("Suggested ", *group, " Tower #" if by else "Tower #", F.col("site_no"))
     point = marker(layer, F.col("lat"), F.col("lon"), None, "red", popup)
     return towers.select(*base).unionByName(sites.select(*point))
 
 
-def map_layers(df, mode="half_up", operators=None, default=DEFAULT_OPERATOR, **options):
-    """Every layer in one table; write it with ``write_result(..., partition_by=["layer"])``."""
+def map_layers(
+    df, mode="half_up", operators=None, default=DEFAULT_OPERATOR, seed=42, shown=None, **options
+):
+    """Every layer in one table; write it with ``write_result(..., partition_by=["layer"])``.
+
+    ``seed`` is that of all samples and fits. ``shown`` may name, by kind of sites, the
+    towers of each group to show under them.
+    """
+    shown = shown or {}
     named = {"operators": operators, "default": default}
 
     # One pass over the towers gives the points of all four kinds of sites.
     points = site_points(df, OPERATOR_TECH, **named)
 
     def sites(kind):
-        found = suggest_sites(points, SITE_LAYERS[kind][1], **options)
-        return layer_sites(df, kind, found, **named)
+        found = suggest_sites(points, SITE_LAYERS[kind][1], seed=seed, **options)
+        return layer_sites(df, kind, found, seed, n=shown.get(kind, USUAL), **named)
 
     # The four kinds of sites are independent jobs; they share the cluster.
     pool = ThreadPool(len(SITE_LAYERS))
@@ -172,11 +186,11 @@ def map_layers(df, mode="half_up", operators=None, default=DEFAULT_OPERATOR, **o
     finally:
         pool.close()
     layers = [
-        layer_scatter(df),
+        layer_scatter(df, seed=seed),
         layer_density(df),
         region_layers(df, mode),
         layer_top_operator(df, mode, **named),
-        layer_operator_scatter(df, **named),
+        layer_operator_scatter(df, seed=seed, **named),
         *with_sites,
     ]
     return reduce(DataFrame.unionByName, layers)

@@ -23,22 +23,31 @@ GROUP = "group_key"
 PLACES_PER_PARTITION = 100_000
 
 
-def site_count(by, n, k=None):
-    """Centres for a group of ``n`` towers; 0 if the group is too small."""
+#: By grouping: the least and greatest ``k`` and the fewest towers of a group with sites.
+LIMITS = {(): (3, 25, 0), OPERATOR: (2, 15, 10), TECH: (2, 15, 10), OPERATOR_TECH: (2, 8, 5)}
+
+
+def site_count(by, n, k=None, k_min=None, k_max=None, min_towers=None):
+    """Centres for a group of ``n`` towers; 0 if it has fewer than ``min_towers``.
+
+    A ``k`` outside ``k_min`` to ``k_max`` (by default those of ``LIMITS``) raises. All towers
+    together have ``k`` centres, or none if there are fewer towers. An operator or technology
+    has at most one per five towers, a combination at most one per tower and by default one
+    per three, but each ``k_min`` at least.
+    """
     by = tuple(by)
+    given = (k_min, k_max, min_towers)
+    low, high, fewest = (d if g is None else g for g, d in zip(given, LIMITS[by]))
+    if k is not None and not low <= k <= high:
+        raise ValueError(f"k is {low} to {high} for {by or 'all towers together'}, not {k}")
     if not by:
         k = 10 if k is None else k
-        if not 3 <= k <= 25:
-            raise ValueError(f"k is 3 to 25 for all towers together, not {k}")
-        return k if n >= k else 0
-    if by == OPERATOR_TECH:
-        if n < 5:
-            return 0
-        wanted = min(5, n // 3) if k is None else k
-        return max(2, min(wanted, 8, n))
-    if n < 10:
+        return k if n >= max(k, fewest) else 0
+    if n < fewest:
         return 0
-    return max(2, min(5 if k is None else k, 15, n // 5))
+    if by == OPERATOR_TECH:
+        return max(low, min(5, n // 3) if k is None else min(k, n))
+    return max(low, min(5 if k is None else k, n // 5))
 
 
 def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR):
@@ -64,17 +73,24 @@ def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR):
 
 def suggest_sites(
     df, by=(), k=None, seed=42, max_iter=300, tol=1e-4, parallelism=8,
-    operators=None, default=DEFAULT_OPERATOR,
+    operators=None, default=DEFAULT_OPERATOR, k_min=None, k_max=None, min_towers=None,
 ):
     """Cluster centres of all towers, or of each group: ``by..., site_no, lat, lon, n_towers``.
 
     ``by`` is ``()``, ``OPERATOR``, ``TECH`` or ``OPERATOR_TECH``. Groups that are too small
-    give no rows. Each group is one distributed fit; ``parallelism`` fits run at a time.
-    A fit stops when its centres move less than ``tol`` of the variance of the positions.
+    give no rows; ``site_count`` says how many centres the others have. A group with no more
+    places than that has its places as centres. Each group is one distributed fit;
+    ``parallelism`` fits run at a time. A fit stops when its centres move less than ``tol`` of
+    the variance of the positions. Centres depend on the towers and the seed only.
     """
     by = tuple(by)
-    if by not in ((), OPERATOR, TECH, OPERATOR_TECH):
-        raise ValueError(f"by is (), {OPERATOR}, {TECH} or {OPERATOR_TECH}, not {by}")
+    if by not in LIMITS:
+        raise ValueError(f"by is one of {list(LIMITS)}, not {by}")
+
+    def count(n):
+        return site_count(by, n, k, k_min, k_max, min_towers)
+
+    count(0)  # a k out of bounds raises, whatever the towers
     points = site_points(df, by, operators, default)
     weight = F.col("n_towers")
     moments = [F.count(F.lit(1)).alias("places"), F.sum(weight).cast("bigint").alias("n")]
@@ -82,13 +98,13 @@ def suggest_sites(
         moments += [F.sum(weight * F.col(c)).alias(c), F.sum(weight * F.col(c) ** 2).alias(f"{c}2")]
     # One row per group, each of which is a fit of its own.
     groups = points.groupBy(*by, *([GROUP] if by else [])).agg(*moments).collect()
-    groups = [g for g in groups if g.places and site_count(by, g.n, k)]
+    groups = [g for g in groups if g.places and count(g.n)]
     if not groups:
         return _site_table(df, by, [])
     groups.sort(key=lambda g: -g.places)
 
     def fit(group):
-        return _fit(points, by, group, site_count(by, group.n, k), seed, max_iter, tol)
+        return _fit(points, by, group, count(group.n), seed, max_iter, tol)
 
     pool = ThreadPool(min(parallelism, len(groups)))
     try:
@@ -113,9 +129,9 @@ def _fit(points, by, group, clusters, seed, max_iter, tol):
 
 def _cluster(members, group, clusters, seed, max_iter, tol):
     members = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(members)
-    # K-Means draws its first centres by partition, so a fixed layout gives fixed centres.
-    most = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(most, math.ceil(group.places / PLACES_PER_PARTITION))
+    # K-Means draws its first centres by partition, so a layout that follows from the places
+    # alone gives the same centres in every session.
+    partitions = math.ceil(group.places / PLACES_PER_PARTITION)
     laid_out = members.repartition(partitions, "lat", "lon").sortWithinPartitions("lat", "lon")
     laid_out = laid_out.select("features", "n_towers")
 
@@ -129,6 +145,8 @@ def _cluster(members, group, clusters, seed, max_iter, tol):
     if len(model.clusterCenters()) < clusters:
         # Drawing places at random gives k different ones.
         model = means.setInitMode("random").fit(laid_out)
+    if len(model.clusterCenters()) < clusters:
+        raise RuntimeError(f"{len(model.clusterCenters())} of {clusters} centres: use another seed")
     # At most k rows.
     counted = model.transform(members).groupBy("site").agg(F.sum("n_towers").cast("bigint"))
     sizes = dict(counted.collect())

@@ -42,9 +42,9 @@ def radius_kde(counts, by, points=200, cut=3):
 
     The bandwidth is the deviation times n^(-1/5); the curve has ``points`` values from
     ``cut`` bandwidths below the least radius to as many above the greatest. Groups whose
-    radius does not vary have no curve.
+    radius does not vary have no curve. Groups named NULL have theirs.
     """
-    counts = counts.filter(F.col("range").isNotNull()).dropna(subset=list(by))
+    counts = counts.filter(F.col("range").isNotNull())
     sums = counts.groupBy(*by).agg(*range_sums())
     n, low, high = F.col("n"), F.col("low"), F.col("high")
     deviation = m.spread_of(n, F.col("total"), F.col("squares"), low, high)
@@ -57,7 +57,9 @@ def radius_kde(counts, by, points=200, cut=3):
     x = start + F.col("grid_no") * span / (points - 1)
     weight = F.col("towers") / (n * h * math.sqrt(2 * math.pi))
     bump = weight * F.exp(-0.5 * F.pow((F.col("x") - F.col("range")) / h, F.lit(2.0)))
-    rows = counts.join(curves, list(by)).withColumn("grid_no", grid).withColumn("x", x)
+    curves = curves.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    rows = counts.join(curves, same).withColumn("grid_no", grid).withColumn("x", x)
     curve = rows.groupBy(*by, "grid_no").agg(
         F.round(F.min("x"), 4).alias("x"), F.round(F.sum(bump), 10).alias("density")
     )

@@ -17,7 +17,9 @@ def read_towers(spark, path, fmt="csv", header=False, text_dates=False):
     # Without inference Spark looks only at the first line for the width.
     first = spark.read.csv(path, header=header)
     schema = tower_schema(positional_names(first.columns), text_dates)
-    rows = spark.read.csv(path, schema=schema, header=header, nullValue="NaN", mode="PERMISSIVE")
+    # A file whose header names other columns, or in another order, raises.
+    rows = spark.read.csv(path, schema=schema, header=header, nullValue="NaN", mode="PERMISSIVE",
+                          enforceSchema=not header)
     return conform_towers(rows)
 
 

@@ -26,14 +26,49 @@ def clean(spark):
 @pytest.mark.parametrize("by, n, k, expected", [
     ((), 9, 10, 0), ((), 10, 10, 10), ((), 10, None, 10),
     (OPERATOR, 9, 5, 0), (OPERATOR, 12, 5, 2), (TECH, 10, 5, 2), (TECH, 25, 5, 5),
-    (OPERATOR, 1000, 40, 15), (OPERATOR, 1000, 1, 2),
+    (OPERATOR, 1000, 15, 15), (OPERATOR, 1000, 2, 2),
     (OPERATOR_TECH, 4, None, 0), (OPERATOR_TECH, 5, None, 2), (OPERATOR_TECH, 9, None, 3),
-    (OPERATOR_TECH, 100, None, 5), (OPERATOR_TECH, 100, 20, 8), (OPERATOR_TECH, 6, 8, 6),
+    (OPERATOR_TECH, 100, None, 5), (OPERATOR_TECH, 100, 8, 8), (OPERATOR_TECH, 6, 8, 6),
 ])
 def test_site_count(by, n, k, expected):
     assert site_count(by, n, k) == expected
 
 
+def test_limits_are_parameters():
+    assert site_count(OPERATOR, 1000, 40, k_max=50) == 40
+    assert site_count(OPERATOR, 9, 5, min_towers=9) == 2
+    assert site_count((), 1000, 100, k_max=100) == 100
+    for k in (1, 16, 40):
+        with pytest.raises(ValueError):
+            site_count(OPERATOR, 1000, k)
+    with pytest.raises(ValueError):
+        site_count(OPERATOR_TECH, 100, 20)
+
+
+def test_sites_do_not_depend_on_shuffle_partitions(spark, clean, monkeypatch):
+    monkeypatch.setattr("mastgrid.operators.sites.PLACES_PER_PARTITION", 300)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in (4, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            found.append([tuple(r) for r in mg.suggest_sites_all(clean, 6).collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == [pytest.approx(row) for row in found[1]]
+
+
+def test_null_groups_keep_their_towers(spark):
+    rows = [{"radio": radio, "lat": 40.0 + i, "range": 100 * i}
+            for radio in (None, "LTE") for i in range(20)]
+    table = towers(spark, *rows)
+    layer = mg.layer_sites(table, "tech")
+    assert layer.filter("popup IS NULL").count() == 40
+    assert "Suggested unknown Tower #1" in column(layer, "popup")
+    assert mg.layer_sites(table, "tech", n=3).filter("popup IS NULL").count() == 6
+    curves = mg.tech_radius_kde(table)
+    assert curves.filter("radio IS NULL").count() == curves.filter("radio = 'LTE'").count() == 200
+
+
 def test_bad_arguments(clean):
     with pytest.raises(ValueError):
         mg.suggest_sites_all(clean, 26)
