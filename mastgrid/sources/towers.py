@@ -16,10 +16,12 @@ def read_towers(spark, path, fmt="csv", header=False, text_dates=False):
         return conform_towers(spark.read.format(fmt).load(path))
     # Without inference Spark looks only at the first line for the width.
     first = spark.read.csv(path, header=header)
-    schema = tower_schema(positional_names(first.columns), text_dates)
-    # A file whose header names other columns, or in another order, raises.
+    names = positional_names(first.columns)
+    schema = tower_schema(names, text_dates)
+    # Where a header names the columns, a file that has others, or another order, raises.
+    by_name = header and names == first.columns
     rows = spark.read.csv(path, schema=schema, header=header, nullValue="NaN", mode="PERMISSIVE",
-                          enforceSchema=not header)
+                          enforceSchema=not by_name)
     return conform_towers(rows)
 
 

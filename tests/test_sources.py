@@ -99,3 +99,12 @@ def test_write_result(spark, tmp_path, fmt):
     mg.write_result(table, path, fmt, ["radio"])
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     assert sorted(column(reader.format(fmt).load(path), "radio")) == ["GSM", "LTE"]
+
+
+def test_headed_files_in_different_order_raise(spark, tmp_path):
+    names = "radio,mcc,mnc,area,cell,unit,lon,lat,range,samples,changeable,created,updated"
+    swapped = names.replace("lon,lat", "lat,lon")
+    for i, header in enumerate((names, swapped)):
+        (tmp_path / f"{i}.csv").write_text(f"{header}\nLTE,310,260,1,{i},0,-75.0,40.0,1000,5,1,0,0\n")
+    with pytest.raises(Exception, match="header"):
+        mg.read_towers(spark, str(tmp_path), header=True).collect()
