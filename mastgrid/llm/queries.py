@@ -2,7 +2,8 @@
 from pyspark.sql import functions as F
 
 from mastgrid.llm import (
-    bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, suffix_dedup, token_count, token_shards,
+    bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, secrets, suffix_dedup, token_count,
+    token_shards,
 )
 
 
@@ -87,6 +88,15 @@ def op10_token_shards(spark, sf_dir):
     return token_shards.training_order(table(spark, sf_dir, "documents"))
 
 
+def op11_secrets(spark, sf_dir):
+    """Secrets of every text of ``documents``."""
+    spans = F.col("spans")
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[secrets.count_kind(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(secrets.joined(secrets.base_spans(spans)), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_line_dedup": op3_line_dedup,
@@ -98,6 +108,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_count": op9_token_count,
     "op10_token_shards": op10_token_shards,
+    "op11_secrets": op11_secrets,
 }
 
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -181,7 +192,75 @@ SELECT doc_id, source,
   CAST(coalesce(passes + CASE WHEN upto <= rest THEN 1 ELSE 0 END, 1) AS BIGINT) AS copies,
   CAST(coalesce(w, 0) AS BIGINT) AS weight_ppm FROM upto"""
 
+def _any_case(word):
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+ASSIGNED = "[\"'']?\\x20*[:=]\\x20*[\"'']?"
+SECRET_NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_?key")))
+KEY_NAMES = "|".join(map(_any_case, ("key", "pwd", "passphrase", "credential")))
+CLIENT_NAMES = "|".join(map(_any_case, (
+    "key_?id", "client_?id", "account_?id", "user_?name", "user", "login")))
+SCHEMES = "|".join(map(_any_case, (
+    "https?", "ftp", "s3", "jdbc:[a-z0-9]+", "postgresql", "mysql", "mongodb", "redis", "amqp"))
+    ).replace("[[aA]-[zZ]0-9]", "[a-zA-Z0-9]")
+#: kind, role, whether it is weak, pattern, check of the match m.
+SECRET_KINDS = [
+    ("assign", "secret", False, f"(?:{SECRET_NAMES}){ASSIGNED}([A-Za-z0-9+/_.=-]+)",
+     "length(regexp_extract(m, pattern, 1)) >= 6"),
+    ("access", "identifier", False, "AKIA[A-Z0-9]+", "length(m) >= 20"),
+    ("hex", "", False, "[0-9a-f]+", "length(m) >= 24"),
+    ("key", "secret", True, f"(?:{KEY_NAMES}){ASSIGNED}([A-Za-z0-9+/_.=-]+)",
+     "length(regexp_extract(m, pattern, 1)) >= 8"),
+    ("blob", "secret", True, "[A-Za-z0-9+/]+", """length(m) = 40 AND regexp_matches(m, '[A-Z]')
+       AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]')"""),
+    ("client", "identifier", True, f"(?:{CLIENT_NAMES}){ASSIGNED}([A-Za-z0-9@_.-]+)",
+     "length(regexp_extract(m, pattern, 1)) >= 3"),
+    ("endpoint", "endpoint", True, f"(?:{SCHEMES})://[^\\x00-\\x20\"''<>]+", "true"),
+    ("break", "", False, "\\n[\\x20\\t\\r]*\\n", "true"),
+]
+
+
+def _located_sql(place, kind, role, weak, pattern, check):
+    check = check.replace("pattern", f"'{pattern}'")
+    return f"""SELECT doc_id, row, {place} AS place, '{kind}' AS kind, '{role}' AS role, {weak} AS weak,
+      s, s + length(m) AS e FROM (
+        SELECT doc_id, row, m, CAST(sum(length(g) + length(m)) OVER (PARTITION BY row ORDER BY i)
+          - length(m) AS BIGINT) AS s
+        FROM (SELECT doc_id, row, unnest(f) AS m, unnest(g[:len(f)]) AS g, generate_subscripts(f, 1) AS i
+          FROM (SELECT doc_id, row, regexp_extract_all(text, '{pattern}') AS f,
+            regexp_split_to_array(text, '{pattern}') AS g FROM d))) WHERE {check}"""
+
+
+SECRETS_SQL = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents
+), parts AS (
+  {' UNION ALL '.join(_located_sql(i, *kind) for i, kind in enumerate(SECRET_KINDS))}
+), near AS (
+  SELECT DISTINCT w.row, w.place, w.kind, w.s, w.e FROM parts w JOIN parts p USING (row)
+  WHERE w.weak AND p.role <> '' AND w.role <> p.role AND 'secret' IN (w.role, p.role)
+    AND greatest(w.s - p.e, p.s - w.e) <= {secrets.REACH}
+    AND NOT EXISTS (SELECT 1 FROM parts b WHERE b.row = w.row AND b.kind = 'break'
+      AND b.s >= least(w.s, p.s) AND b.e <= greatest(w.e, p.e))
+    AND NOT EXISTS (SELECT 1 FROM parts b WHERE b.row = w.row AND b.kind IN ('assign', 'access', 'hex')
+      AND b.s < w.e AND w.s < b.e)
+), spans AS (
+  SELECT row, place, kind, s, e FROM near
+  UNION ALL SELECT row, place, kind, s, e FROM parts WHERE NOT weak AND kind <> 'break'
+), said AS (
+  SELECT row, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (place < 3) AS base,
+    count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+    count(*) FILTER (place = 2) AS n_hex
+  FROM spans GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN said USING (row)"""
+
 ORACLES = {
+    "op11_secrets": SECRETS_SQL,
     "op7_quality": QUALITY_SQL + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines,
       n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines,
       n_capitals, fail_bits FROM bits""",
