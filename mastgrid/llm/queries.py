@@ -2,8 +2,8 @@
 from pyspark.sql import functions as F
 
 from mastgrid.llm import (
-    bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, secrets, suffix_dedup, token_count,
-    token_shards,
+    bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, ranked_search, secrets, suffix_dedup,
+    token_count, token_shards,
 )
 
 
@@ -97,6 +97,12 @@ def op11_secrets(spark, sf_dir):
         secrets.joined(spans).alias("spans"))
 
 
+def op12_search(spark, sf_dir):
+    """The documents that match each item of ``benchmark`` best."""
+    return ranked_search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_line_dedup": op3_line_dedup,
@@ -109,6 +115,7 @@ QUERIES = {
     "op9_token_count": op9_token_count,
     "op10_token_shards": op10_token_shards,
     "op11_secrets": op11_secrets,
+    "op12_search": op12_search,
 }
 
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -259,7 +266,35 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN said USING (row)"""
 
+SEARCH_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), sizes AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0
+), tf AS (
+  SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d
+), counts AS (
+  SELECT doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM tf GROUP BY ALL
+), terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2e0 * n_docs + 2) / (2e0 * count(*) + 1))) AS BIGINT) AS weight
+  FROM counts, sizes GROUP BY term, n_docs
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf)
+    // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM terms JOIN counts USING (term) JOIN weights USING (term), sizes GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank,
+  doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50"""
+
 ORACLES = {
+    "op12_search": SEARCH_SQL,
     "op11_secrets": SECRETS_SQL,
     "op7_quality": QUALITY_SQL + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines,
       n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines,
