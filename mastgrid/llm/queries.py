@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from mastgrid.llm import (
     bag_minhash, chat, decontaminate, line_dedup, mixing, pii, quality, ranked_search, secrets, suffix_dedup,
-    token_count, token_shards,
+    token_align, token_count, token_shards,
 )
 
 
@@ -103,6 +103,14 @@ def op12_search(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_align(spark, sf_dir):
+    """How the tokens of two tokenizers line up in every text of ``documents``."""
+    found = token_align.align(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *token_align.COUNTS, "n_best", "count_sum",
+        F.coalesce(F.sha2("groups", 256), F.lit("")).alias("groups_sha256"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_line_dedup": op3_line_dedup,
@@ -116,6 +124,7 @@ QUERIES = {
     "op10_token_shards": op10_token_shards,
     "op11_secrets": op11_secrets,
     "op12_search": op12_search,
+    "op13_align": op13_align,
 }
 
 SPACE = "[\\x20\\x09-\\x0D]"
