@@ -119,7 +119,8 @@ def ledger(docs, text="text", keep=("doc_id",)):
     out, so none can clash with a measurement.
     """
     # The generator reads a fixed name that no kept column has.
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep],
+                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     rows = _measured(rows).select(*keep, *MEASURES)
     bits = F.lit(0).cast("long")
     for place, condition in enumerate(RULES.values()):
@@ -154,7 +155,11 @@ def ablations(rows, policy="v2"):
 
 
 def keep_good(docs, policy="v2"):
-    """The rows of ``docs``, all columns, that satisfy a policy."""
+    """The rows of ``docs``, all columns, that satisfy a policy.
+
+    NULL and empty texts go: they have too few words. Repeated rows all stay or all go; columns
+    that are named like a measurement stay as they are; an empty table stays empty.
+    """
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"),
                        F.col("text").alias("__text"))

@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 
 from mastgrid.functions.durable import durable
 from mastgrid.llm.token_count import REMEMBERED_CHARS, SPACE, PieceCounts
+from mastgrid.llm.token_shards import encoding
 
-#: Units, links in them and pairs of ids that a task remembers; then it starts anew.
-REMEMBERED, REMEMBERED_LINKS, REMEMBERED_PAIRS = 200_000, 2_000_000, 500_000
+#: Units and links in them that a task remembers; then it starts anew.
+REMEMBERED, REMEMBERED_LINKS = 600_000, 8_000_000
+#: New units that are read at a time.
+TOGETHER = 2_000
 #: Pairs of ids whose counts are sent to every task at a time.
 SENT_PAIRS = 2_000_000
 #: Characters of text whose rows are made at a time, or one longer text.
 CHUNK_CHARS = 500_000
-#: A pair of ids as one number.
+#: An id of A and one of B as one number.
 SHIFT = 1 << 24
 #: Every unit but the first begins with a single space between two characters that aren't.
 UNITS = re.compile(r"(?<=\S) (?=\S)")
@@ -33,9 +36,11 @@ COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def default_paths():
+    """Files of A and B. A's is the same vocabulary as byte_bpe_50k.json, in a form that is read
+    four times as fast; the tests hold both forms against each other."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def byte_symbols():
@@ -45,166 +50,210 @@ def byte_symbols():
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _byte_level(path):
+    """Encoder and bytes by id of a byte-level model in a file of the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    model, symbols, pieces = Tokenizer.from_file(path), byte_symbols(), {}
+    model.encode_special_tokens = True
+    for piece, i in model.get_vocab(with_added_tokens=True).items():
+        known = all(c in symbols for c in piece)
+        pieces[i] = bytes(symbols[c] for c in piece) if known else piece.encode()
+    return (lambda text: model.encode(text, add_special_tokens=False).ids), pieces
+
+
+def _is_odd(piece):
+    """Whether a piece begins or ends in white space, or is one with what comes before."""
+    return not piece or piece[0].isspace() or piece[-1].isspace() or SPACE in piece
+
+
 class Aligner:
     """Both tokenizers, the alignments of units met so far, and the pairs of ids in them."""
 
     def __init__(self, path_a, path_b):
         import sentencepiece
-        from tokenizers import Tokenizer
 
         PieceCounts(path_b)  # raises unless texts can be cut at spaces
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        if path_a.endswith(".tiktoken"):
+            known = encoding(path_a)
+            self.encode_a = known.encode_ordinary
+            self.bytes_a = {i: known.decode_single_token_bytes(i) for i in range(known.n_vocab)}
+        else:
+            self.encode_a, self.bytes_a = _byte_level(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        symbols = byte_symbols()
-        self.bytes_a = {}
-        for piece, i in self.a.get_vocab(with_added_tokens=True).items():
-            known = all(c in symbols for c in piece)
-            self.bytes_a[i] = bytes(symbols[c] for c in piece) if known else piece.encode()
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             byte = self.b.is_byte(i)
             self.bytes_b.append(bytes([int(piece[1:-1], 16)]) if byte else piece.replace(SPACE, " ").encode())
+        self.sizes_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        for i, piece in self.bytes_a.items():
+            self.sizes_a[i] = len(piece)
+        self.sizes_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.texts_a, self.texts_b = (
+            np.array([[f"{i},", f"{i}{end}"] for i in range(n)], object)
+            for n, end in ((len(self.sizes_a), "|"), (len(self.sizes_b), ";")))
         self.forget()
 
-    def forget(self):
-        """Start with no unit. Numbers given out before are void."""
-        self.known, self.said, self.pairs = {}, [], {}
-        self.counts, self.begins, self.pair, self.names = (array("q") for _ in range(4))
+    def forget(self, spell=True):
+        """Start with no unit; numbers given out before are void. Groups are made to ``spell``."""
+        self.known, self.said, self.n_units, self.spell = {}, [], 0, spell
+        self.counts, self.begins, self.pair = (array("q") for _ in range(3))
         self.begins.append(0)
 
     def full(self):
         """Whether so much is remembered that it is time to start anew."""
-        return len(self.said) >= REMEMBERED or len(self.pair) >= REMEMBERED_LINKS or (
-            len(self.names) >= REMEMBERED_PAIRS)
-
-    def unit(self, text):
-        """``(sound, counts, groups, pairs)`` of one unit, which begins with a space."""
-        raw = text.encode()
-        ids_a = self.a.encode(text, add_special_tokens=False).ids
-        ids_b = self.b.encode(text[1:])
-        at, ends_a = 0, {}
-        for i, token in enumerate(ids_a):
-            at += len(self.bytes_a[token])
-            ends_a[at] = i
-        at, ends_b = 0, {}
-        for i, token in enumerate(ids_b):
-            at += len(self.bytes_b[token])
-            ends_b[at] = i
-        sound = (b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw
-                 and b"".join(map(self.bytes_b.__getitem__, ids_b)) == raw)
-        if not sound:
-            return False, None, None, None
-        groups, pairs = [], []
-        low_a = low_b = 0
-        for end in sorted(ends_a.keys() & ends_b.keys()):
-            high_a, high_b = ends_a[end] + 1, ends_b[end] + 1
-            one, other = ids_a[low_a:high_a], ids_b[low_b:high_b]
-            groups.append(",".join(map(str, one)) + "|" + ",".join(map(str, other)))
-            if len(one) == 1 or len(other) == 1:
-                pairs += [x * SHIFT + y for x in one for y in other]
+        return self.n_units >= REMEMBERED or len(self.pair) >= REMEMBERED_LINKS
+
+    def _tokens(self, text):
+        """Flat ids of A and B for a text without its first space; None if they don't spell it."""
+        ids_a = self.encode_a(" " + text)
+        ids_b, raw = self.b.encode(text), (" " + text).encode()
+        if (b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw
+                and b"".join(map(self.bytes_b.__getitem__, ids_b)) == raw):
+            return np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        return None
+
+    def learn(self, pieces, alone=frozenset()):
+        """Align new units, given without their space: a number for each, -1 if unsound.
+
+        Units are read many at a time, put together as in a text; if that doesn't spell them,
+        and for those in ``alone``, each is read by itself.
+        """
+        numbers = dict.fromkeys(pieces, -1)
+        plain = [x for x in pieces if x not in alone] if alone else pieces
+        alone = list(alone)
+        for i in range(0, len(plain), TOGETHER):
+            part = plain[i:i + TOGETHER]
+            tokens = self._tokens(" ".join(part))
+            if tokens is None or not self._align(*tokens, [len(x.encode()) + 1 for x in part]):
+                alone += part
             else:
-                # Walk both slices: the token that ends first gives way to the next.
-                i = j = 0
-                end_a, end_b = len(self.bytes_a[one[0]]), len(self.bytes_b[other[0]])
-                while True:
-                    pairs.append(one[i] * SHIFT + other[j])
-                    if end_a == end_b:
-                        break
-                    if end_a < end_b:
-                        i += 1
-                        end_a += len(self.bytes_a[one[i]])
-                    else:
-                        j += 1
-                        end_b += len(self.bytes_b[other[j]])
-            low_a, low_b = high_a, high_b
-        return True, (len(ids_a), len(ids_b), len(groups), len(pairs)), ";".join(groups), pairs
-
-    def number(self, text):
-        """The number of a unit among those met since the last ``forget``; -1 if unsound."""
-        sound, counts, groups, pairs = self.unit(text)
-        if not sound:
-            return -1
-        self.counts.extend(counts)
-        self.said.append(groups)
-        for pair in pairs:
-            place = self.pairs.get(pair)
-            if place is None:
-                place = self.pairs[pair] = len(self.names)
-                self.names.append(pair)
-            self.pair.append(place)
-        self.begins.append(len(self.pair))
-        return len(self.said) - 1
-
-    def read(self, text):
-        """Numbers of a text's units; none if it is empty or its tokens are not its bytes."""
-        if not text:
-            return []
-        pieces = UNITS.split(text)
-        numbers = list(map(self.known.get, pieces))
-        if None in numbers:
-            for i, piece in enumerate(pieces):
-                if numbers[i] is None:
-                    numbers[i] = self.known.get(piece)
-                if numbers[i] is None:
-                    numbers[i] = self.number(" " + piece)
-                    if len(piece) <= REMEMBERED_CHARS:
-                        self.known[piece] = numbers[i]
-        if -1 in numbers:
-            # The text as a whole decides.
-            whole = self.number(" " + text)
-            return [] if whole < 0 else [whole]
+                numbers.update(zip(part, range(self.n_units - len(part), self.n_units)))
+        for piece in alone:
+            tokens = self._tokens(piece)
+            if tokens is not None and self._align(*tokens, [len(piece.encode()) + 1]):
+                numbers[piece] = self.n_units - 1
         return numbers
 
-    def arrays(self, done=0):
-        """Counts of the units from number ``done`` on, where their links begin, the links'
-        places among the pairs, and the pairs."""
-        counts = np.array(self.counts[4 * done:], np.int64).reshape(-1, 4)
+    def _align(self, a, b, sizes):
+        """Groups and links of units that lie one after another; whether both sides end there."""
+        at_a, at_b, units = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b]), np.cumsum(sizes)
+        if not (np.isin(units, at_a).all() and np.isin(units, at_b).all()):
+            return False
+        ends_a, ends_b = (dict(zip(x.tolist(), range(len(x)))) for x in (at_a, at_b))
+        common = sorted(ends_a.keys() & ends_b.keys())
+        # Within a slice each stretch between neighbouring ends of either side lies in one
+        # token of both, and two tokens that overlap share one such stretch.
+        ends = np.union1d(at_a, at_b)
+        link_ends = np.searchsorted(ends, units, "right")
+        group_ends = np.searchsorted(np.array(common), units, "right")
+        low = len(self.pair)
+        self.pair.frombytes(
+            (a[np.searchsorted(at_a, ends)] * SHIFT + b[np.searchsorted(at_b, ends)]).tobytes())
+        self.begins.frombytes((low + link_ends).tobytes())
+        counts = [np.searchsorted(at_a, units, "right"), np.searchsorted(at_b, units, "right"),
+                  group_ends, link_ends]
+        self.counts.frombytes(np.diff(np.stack(counts, 1), axis=0, prepend=0).tobytes())
+        self.n_units += len(sizes)
+        if self.spell:
+            last_a, last_b = (np.fromiter(map(x.__getitem__, common), np.int64) for x in (ends_a, ends_b))
+            self.said += self._said(a, b, last_a, last_b, group_ends)
+        return True
+
+    def _said(self, a, b, last_a, last_b, group_ends):
+        """The groups of each unit as text, closed by a semicolon.
+
+        Each slice is A's ids, then B's; an id's text ends in what follows it.
+        """
+        closes = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        closes[0][last_a] = closes[1][last_b] = 1
+        slices = [np.cumsum(x) - x for x in closes]
+        # An id comes after all of its side before it, and the other side's earlier slices.
+        place_a = np.arange(len(a)) + np.concatenate([[0], last_b + 1])[slices[0]]
+        place_b = np.arange(len(b)) + (last_a + 1)[slices[1]]
+        parts = np.empty(len(a) + len(b), object)
+        parts[place_a], parts[place_b] = self.texts_a[a, closes[0]], self.texts_b[b, closes[1]]
+        parts = parts.tolist()
+        cuts = [0, *(last_a[group_ends - 1] + last_b[group_ends - 1] + 2).tolist()]
+        return ["".join(parts[i:j]) for i, j in zip(cuts, cuts[1:])]
+
+    def read(self, texts):
+        """Per text the numbers of its units; none if it is empty or unsound."""
+        pieces = [text.split(" ") if text else [] for text in texts]
+        new = set().union(*pieces).difference(self.known)
+        odd = set(filter(_is_odd, new))
+        if odd:  # spaces next to other white space: not every space begins a unit
+            for i, found in enumerate(pieces):
+                if not odd.isdisjoint(found):
+                    pieces[i] = UNITS.split(texts[i])
+            new = set().union(*pieces).difference(self.known)
+            odd = set(filter(_is_odd, new))
+        if new:
+            self.known.update(self.learn(list(new), odd))
+        numbers = [list(map(self.known.__getitem__, x)) for x in pieces]
+        for piece in new:
+            if len(piece) > REMEMBERED_CHARS or piece in odd:
+                del self.known[piece]
+        for i, found in enumerate(numbers):
+            if -1 in found:  # the text as a whole decides
+                numbers[i] = [n for n in self.learn([texts[i]], {texts[i]}).values() if n >= 0]
+        return numbers
+
+    def links(self, done=0):
+        """Where the links of the units from number ``done`` on begin, and their pairs."""
         begins = np.array(self.begins[done:], np.int64)
-        places = np.array(self.pair[int(begins[0]):], np.int64)
-        return counts, begins - begins[0], places, np.array(self.names, np.int64)
+        return begins - begins[0], np.array(self.pair[int(begins[0]):], np.int64)
 
 
 @functools.lru_cache(maxsize=1)
-def _aligner(paths):
+def _loaded(paths):
     return Aligner(*paths)
 
 
+def _aligner(paths, spell):
+    """The process's aligner; what it remembers is of use to later tasks of the same kind."""
+    aligner = _loaded(paths)
+    if aligner.spell != spell:
+        aligner.forget(spell)
+    return aligner
+
+
 def _chunks(batches, aligner):
     """Ids, texts and units of some rows at a time, before the aligner starts anew."""
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        ids, column = batch.column(0), batch.column(1)
         at = 0
         while at < len(batch):
-            numbers, held, first = [], 0, at
-            while at < len(batch) and held < CHUNK_CHARS and not aligner.full():
-                text = texts[at].as_py()
-                held += len(text or "")
-                numbers.append(aligner.read(text))
+            texts, held, first = [], 0, at
+            while at < len(batch) and held < CHUNK_CHARS:
+                texts.append(column[at].as_py())
+                held += len(texts[-1] or "")
                 at += 1
-            yield ids.slice(first, at - first), numbers
+            yield ids.slice(first, at - first), aligner.read(texts)
             if aligner.full():
-                aligner.forget()
+                aligner.forget(aligner.spell)
 
 
 def _count_pairs(paths):
     """Tasks that yield ``pair, n``: links per pair of ids."""
     def count(batches):
-        aligner = _aligner(paths)
+        aligner = _aligner(paths, False)
         used = np.zeros(0, np.int64)
 
         def told():
-            _, begins, places, names = aligner.arrays()
-            n, often = np.zeros(len(names), np.int64), np.zeros(len(begins) - 1, np.int64)
+            begins, pairs = aligner.links()
+            often = np.zeros(len(begins) - 1, np.int64)
             often[:len(used)] = used
-            np.add.at(n, places, np.repeat(often, np.diff(begins)))
+            names, place = np.unique(pairs, return_inverse=True)
+            n = np.zeros(len(names), np.int64)
+            np.add.at(n, place, np.repeat(often, np.diff(begins)))
             at = np.flatnonzero(n)
             return pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(n[at])], ["pair", "n"])
 
         for _, numbers in _chunks(batches, aligner):
             flat = np.fromiter(chain.from_iterable(numbers), np.int64)
-            more = np.bincount(flat, minlength=len(aligner.said))
+            more = np.bincount(flat, minlength=aligner.n_units)
             more[:len(used)] += used
             used = more
             if aligner.full():
@@ -221,21 +270,19 @@ def _add_counts(paths, sent, first):
     The first block's tasks also make the other columns.
     """
     def add(batches):
-        aligner = _aligner(paths)
+        aligner = _aligner(paths, first)
         pairs, counts, best = sent.value
         by_unit = np.zeros((0, 2), np.int64)
-        rows = iter(batches)
-        for batch in rows:
+        for batch in batches:
             done = 0
             for ids, numbers in _chunks([batch], aligner):
-                if len(by_unit) < len(aligner.said):
-                    _, begins, places, names = aligner.arrays(len(by_unit))
-                    at = np.minimum(np.searchsorted(pairs, names), max(0, len(pairs) - 1))
-                    known = pairs[at] == names if len(pairs) else np.zeros(len(names), bool)
-                    values = np.stack([known & best[at], np.where(known, counts[at], 0)], 1).astype(
-                        np.int64) if len(pairs) else np.zeros((len(names), 2), np.int64)
-                    sums = np.zeros((len(places) + 1, 2), np.int64)
-                    np.cumsum(values[places], axis=0, out=sums[1:])
+                if len(by_unit) < aligner.n_units:
+                    begins, names = aligner.links(len(by_unit))
+                    sums = np.zeros((len(names) + 1, 2), np.int64)
+                    if len(pairs):
+                        at = np.minimum(np.searchsorted(pairs, names), len(pairs) - 1)
+                        known = pairs[at] == names
+                        np.cumsum(np.stack([known & best[at], known * counts[at]], 1), axis=0, out=sums[1:])
                     by_unit = np.concatenate([by_unit, np.diff(sums[begins], axis=0)])
                 sizes = np.array([len(x) for x in numbers])
                 flat = np.fromiter(chain.from_iterable(numbers), np.int64)
@@ -245,7 +292,7 @@ def _add_counts(paths, sent, first):
                 if first:
                     told = [pa.array(c) for c in _by_row(
                         np.array(aligner.counts, np.int64).reshape(-1, 4), flat, sizes).T]
-                    said = pa.array([";".join(map(aligner.said.__getitem__, x)) if x else None
+                    said = pa.array(["".join(map(aligner.said.__getitem__, x))[:-1] if x else None
                                      for x in numbers], pa.string())
                 else:
                     told = [part.column(name) for name in COUNTS]

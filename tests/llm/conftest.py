@@ -1,21 +1,4 @@
 import pytest
-from pyspark.sql import SparkSession
-
-
-@pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
-        .getOrCreate()
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    return session
 
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, spans string"

@@ -49,6 +49,21 @@ def test_edges(name, edge_docs, no_docs):
     assert OPERATORS[name](no_docs).collect() == []
 
 
+def test_quality_of_edges(spark, edge_docs, no_docs):
+    rows = quality.ledger(edge_docs.withColumn("n_words", F.lit(9))).collect()
+    found = {r.doc_id: r for r in rows}
+    assert [tuple(found[1])[1:8], found[1].fail_bits] == [(0,) * 7, 1] and tuple(found[2])[1:] == tuple(found[1])[1:]
+    assert found[3].n_words == 1 and found[4].n_words == 30_000 == found[5].n_words
+    assert found[4].n_repeat_words == 30_000 and found[10].word_chars == 5000
+    assert found[8].n_words == 1 and found[7].n_words == 0 and found[11].n_words == 4000
+    good = spark.createDataFrame(
+        [(1, None, 1), (2, "", 2), (3, " ".join(f"w{i}" for i in range(60)), 3)] * 2,
+        "doc_id bigint, text string, n_words int")
+    kept = quality.keep_good(good)
+    assert kept.columns == good.columns and [tuple(r)[::2] for r in kept.collect()] == [(3, 3)] * 2
+    assert quality.keep_good(no_docs).collect() == []
+
+
 def test_near_edges(edge_docs):
     found = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(edge_docs).collect()}
     assert found[5] == 4 and found[9] == 8 and found[2] == 1 and found[None] is None

@@ -13,8 +13,10 @@ def plain():
     import sentencepiece
     from tokenizers import Tokenizer
 
-    path_a, path_b = token_align.default_paths()
-    a = Tokenizer.from_file(path_a)
+    import public_tokenizers
+
+    path_b = token_align.default_paths()[1]
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=path_b)
     symbols = token_align.byte_symbols()
@@ -104,13 +106,21 @@ def test_equals_plain_version_on_documents(spark, plain):
     assert rows_of(token_align.align(table).collect()) == sorted(plain(docs), key=str)
 
 
+def test_both_forms_of_a(spark):
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), token_align.default_paths()[1]
+    table = spark.createDataFrame(list(enumerate(AWKWARD)), "doc_id bigint, text string")
+    assert rows_of(token_align.align(table, paths).collect()) == rows_of(token_align.align(table).collect())
+
+
 def test_starting_anew_changes_nothing(plain, monkeypatch):
     import pyarrow as pa
 
     monkeypatch.setattr(token_align, "REMEMBERED", 5)
     monkeypatch.setattr(token_align, "CHUNK_CHARS", 40)
     paths = token_align.default_paths()
-    token_align._aligner.cache_clear()
+    token_align._loaded.cache_clear()
     batch = pa.RecordBatch.from_arrays(
         [pa.array(range(len(AWKWARD))), pa.array(AWKWARD, pa.string())], ["doc_id", "text"])
     counts = Counter()
@@ -132,7 +142,7 @@ def test_starting_anew_changes_nothing(plain, monkeypatch):
         columns = [c.to_pylist() for i, c in enumerate(part.columns) if i != 1]
         found += [r if r[3] < 400 else (*r[:-1], "long") for r in zip(*columns)]
     assert found == plain(list(enumerate(AWKWARD)))
-    token_align._aligner.cache_clear()
+    token_align._loaded.cache_clear()
 
 
 def test_edges(spark, edge_docs, no_docs):
