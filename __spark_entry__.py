@@ -46,12 +46,46 @@ def _through_csv(towers: DataFrame) -> DataFrame:
     return mg.read_towers(towers.sparkSession, path)
 
 
+def _mixed_files(towers: DataFrame) -> str:
+    """Headerless files of 13 columns and of 14, under one folder."""
+    path, odd = shared_path(towers.sparkSession), F.col("cell") % 2 == 1
+    towers.filter(~odd).write.csv(f"{path}/of13")
+    signal = (-(F.col("cell") % 50)).cast("int").alias("average_signal")
+    towers.filter(odd).select("*", signal).write.csv(f"{path}/of14")
+    return f"{path}/*"
+
+
+def _through_mixed_csv(towers: DataFrame) -> DataFrame:
+    return mg.read_towers(towers.sparkSession, _mixed_files(towers))
+
+
+def _lines_by_width(towers: DataFrame) -> DataFrame:
+    lines = mg.tower_lines(towers.sparkSession, _mixed_files(towers))
+    return lines.groupBy("width").agg(F.sum("line_count").alias("line_count"))
+
+
+def _through_headed_csv(towers: DataFrame) -> DataFrame:
+    """Headed files whose columns come in two orders, read by each file's own names."""
+    path, odd = shared_path(towers.sparkSession), F.col("cell") % 2 == 1
+    towers.filter(~odd).write.csv(f"{path}/one", header=True)
+    towers.filter(odd).select(*reversed(towers.columns)).write.csv(f"{path}/other", header=True)
+    return mg.read_towers(towers.sparkSession, f"{path}/*", header=True)
+
+
+def _with_text_dates(towers: DataFrame) -> DataFrame:
+    """Times that come as texts: epoch seconds, dates, and what is neither."""
+    day = F.date_format(F.timestamp_seconds("created"), "yyyy-MM-dd")
+    said = F.when(F.col("cell") % 3 == 0, F.col("created").cast("string")).when(F.col("cell") % 3 == 1, day)
+    texts = towers.withColumns({"created": F.coalesce(said, F.lit("soon")), "updated": F.col("updated").cast("string")})
+    return mg.with_timestamps(texts).select("area", "cell", "created_ts", "updated_ts", "year")
+
+
 def _through_clean_parquet(towers: DataFrame) -> DataFrame:
-    """Keep the cleaned table by technology and read one technology of it."""
+    """Keep the cleaned table by technology and read all of it."""
     path = shared_path(towers.sparkSession)
     mg.save_clean(mg.clean_towers(towers), path)
     kept = mg.read_towers(towers.sparkSession, path, "parquet")
-    return mg.by_tech(kept, "LTE").select("radio", "area", "cell", "lon", "lat", "range", "created")
+    return kept.select("radio", "area", "cell", "lon", "lat", "range", "created")
 
 
 def _through_sink(towers: DataFrame) -> DataFrame:
@@ -70,6 +104,10 @@ RAW_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "clean_towers": mg.clean_towers,
     "tower_row_count": mg.tower_row_count,
     "read_towers_csv": _through_csv,
+    "read_towers_mixed": _through_mixed_csv,
+    "read_towers_headed": _through_headed_csv,
+    "tower_lines": _lines_by_width,
+    "with_timestamps": _with_text_dates,
     "save_clean_parquet": _through_clean_parquet,
     "write_result_parquet": _through_sink,
     "conform_towers": lambda t: mg.conform_towers(t.toDF(*[f"_c{i}" for i in range(13)])),
@@ -286,8 +324,17 @@ ORACLES: dict[str, str] = {
     "tower_row_count": """SELECT count(*) AS raw_count,
       (SELECT count(*) FROM clean) AS clean_count FROM towers""",
     "read_towers_csv": "SELECT * EXCLUDE (unit) FROM towers",
-    "save_clean_parquet": """SELECT radio, area, cell, lon, lat, "range", created FROM clean
-      WHERE radio = 'LTE'""",
+    "read_towers_mixed": """SELECT * EXCLUDE (unit),
+      CASE WHEN cell % 2 = 1 THEN CAST(-(cell % 50) AS INT) END AS average_signal FROM towers""",
+    "read_towers_headed": "SELECT * EXCLUDE (unit) FROM towers",
+    "tower_lines": """SELECT CAST(13 + cell % 2 AS INT) AS width, count(*) AS line_count FROM towers
+      GROUP BY 1""",
+    "with_timestamps": """SELECT area, cell, CASE WHEN cell % 3 < 2 THEN make_timestamp(
+        (CASE WHEN cell % 3 = 0 THEN created ELSE created // 86400 * 86400 END) * 1000000) END AS created_ts,
+      make_timestamp(updated * 1000000) AS updated_ts,
+      CASE WHEN cell % 3 < 2 THEN CAST(year(make_timestamp(created * 1000000)) AS INT) END AS year
+      FROM towers""",
+    "save_clean_parquet": 'SELECT radio, area, cell, lon, lat, "range", created FROM clean',
     "write_result_parquet": f"""SELECT lat_r, lon_r, radio, {COUNT} FROM region
       GROUP BY lat_r, lon_r, radio""",
     "conform_towers": "SELECT * EXCLUDE (unit) FROM towers",

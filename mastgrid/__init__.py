@@ -12,13 +12,14 @@ from mastgrid.functions.derive import (
 from mastgrid.operators import *  # noqa: F401,F403
 from mastgrid.operators import __all__ as _operators
 from mastgrid.sources.sinks import save_clean, write_result
-from mastgrid.sources.towers import conform_towers, read_towers
+from mastgrid.sources.towers import conform_towers, read_towers, tower_lines
 
 __all__ = [
     *_operators,
     "conform_towers",
     "read_towers",
     "save_clean",
+    "tower_lines",
     "with_operator",
     "with_operator_code",
     "with_operator_color",

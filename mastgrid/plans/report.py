@@ -39,6 +39,7 @@ from mastgrid.operators import (
 )
 from mastgrid.plans.summary import tower_summary
 from mastgrid.sources.sinks import save_clean, write_result
+from mastgrid.sources.towers import read_towers
 
 
 def summary_tables(summary):
@@ -93,7 +94,7 @@ def write_report(towers, folder, fmt="parquet", mode="errorifexists", layers=Tru
     spark = towers.sparkSession
     kept = posixpath.join(folder, "clean_towers")
     save_clean(clean_towers(towers), kept, mode)
-    clean = spark.read.parquet(kept)
+    clean = read_towers(spark, kept, "parquet")
     tables = {"tower_row_count": tower_row_count(towers), **tower_tables(clean)}
     tables.update(summary_tables(durable(tower_summary(clean))))
     for name, table in tables.items():

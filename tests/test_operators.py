@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rows import column, towers
 
 import mastgrid as mg
-from mastgrid.functions.durable import durable
+from mastgrid.functions.durable import durable, shared_folder
 from mastgrid.functions.select import first_rows
 from mastgrid.plans.report import summary_tables, write_report
 from mastgrid.plans.summary import tower_summary
@@ -148,7 +148,7 @@ def test_first_rows_of_a_hot_group(spark):
 
 def test_durable_tables_are_in_the_shared_folder(spark):
     kept = durable(towers(spark, {}))
-    assert spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
+    assert shared_folder(spark).removeprefix("file:") in kept.inputFiles()[0]
 
 
 def test_report(spark, tmp_path):

@@ -12,7 +12,8 @@ import __spark_entry__ as driver  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 EAGER = {
-    "read_towers_csv", "save_clean_parquet", "write_result_parquet", "layer_sites", "map_layers",
+    "read_towers_csv", "read_towers_mixed", "read_towers_headed", "tower_lines", "save_clean_parquet",
+    "write_result_parquet", "layer_sites", "map_layers",
     "suggest_sites_all", "suggest_sites_operator", "suggest_sites_tech",
     "suggest_sites_operator_tech",
 }
@@ -82,9 +83,9 @@ def test_towers_are_read_once(stored, operator):
     assert text.count("FileScan") == 1 and "ReusedExchange" in text
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(driver.tower_queries()) - EAGER))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(driver.queries()[name](spark, DATA))
+    text = plan(driver.tower_queries()[name](spark, DATA))
     for node in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 

@@ -84,12 +84,17 @@ def test_dirty_positions_are_dropped(spark):
 
 def test_save_clean_prunes_by_technology(spark, tmp_path):
     path = str(tmp_path / "clean")
-    mg.save_clean(towers(spark, {"radio": "LTE"}, {"radio": "GSM"}, {"radio": None}), path)
+    names = ["LTE", "GSM", None, "", "4", "none", "a/b=c"]
+    mg.save_clean(towers(spark, *[{"radio": name} for name in names]), path)
     kept = mg.read_towers(spark, path, "parquet")
-    plan = mg.by_tech(kept, "GSM")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(radio" in plan
-    assert sorted(column(kept, "radio"), key=str) == ["GSM", "LTE", None]
-    assert mg.by_tech(kept, "GSM").count() == 1
+    assert sorted(column(kept, "radio"), key=str) == sorted(names, key=str)
+    assert dict(kept.dtypes)["radio"] == "string"
+    for name in ("GSM", "", "4", "none"):
+        assert mg.by_tech(kept, name).count() == 1
+    found = mg.by_tech(kept, "GSM")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "radio_key" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert found.select("cell").inputFiles() and found.count() == 1
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "json", "csv", "orc"])
@@ -101,10 +106,59 @@ def test_write_result(spark, tmp_path, fmt):
     assert sorted(column(reader.format(fmt).load(path), "radio")) == ["GSM", "LTE"]
 
 
-def test_headed_files_in_different_order_raise(spark, tmp_path):
+def test_headed_files_go_by_their_own_names(spark, tmp_path):
     names = "radio,mcc,mnc,area,cell,unit,lon,lat,range,samples,changeable,created,updated"
     swapped = names.replace("lon,lat", "lat,lon")
-    for i, header in enumerate((names, swapped)):
-        (tmp_path / f"{i}.csv").write_text(f"{header}\nLTE,310,260,1,{i},0,-75.0,40.0,1000,5,1,0,0\n")
-    with pytest.raises(Exception, match="header"):
-        mg.read_towers(spark, str(tmp_path), header=True).collect()
+    (tmp_path / "0.csv").write_text(f"{names}\nLTE,310,260,1,0,0,-75.0,40.0,1000,5,1,0,0\n")
+    (tmp_path / "1.csv").write_text(f"{swapped}\nLTE,310,260,1,1,0,41.0,-76.0,1000,5,1,0,0\n")
+    (tmp_path / "2.csv").write_text("lat,lon,owner\n42.0,-77.0,me\n")
+    (tmp_path / "3.csv").write_text(",".join("abcdefghijklm") + "\nGSM,310,260,1,3,0,-78.0,43.0,1000,5,1,0,0\n")
+    df = mg.read_towers(spark, str(tmp_path), header=True)
+    found = sorted(column(df, "lat", "lon", "radio", "cell", "owner"))
+    assert found == [(40.0, -75.0, "LTE", 0, None), (41.0, -76.0, "LTE", 1, None),
+                     (42.0, -77.0, None, None, "me"), (43.0, -78.0, "GSM", 3, None)]
+
+
+def mixed_folder(tmp_path):
+    """Files of 13 and 14 columns, floats for whole numbers, quotes, blank and short lines."""
+    decimal = [*LINE[:1], "310.0", "260.0", "7.0", "9007199254740993.0", *LINE[5:8], "1200.5", *LINE[9:]]
+    quoted = ['"L,TE"', *LINE[1:]]
+    lines = {"a.csv": [LINE, decimal, quoted], "b.csv": [LINE + ["-90"], LINE + ["-91", "x"]],
+             "c.csv": [LINE[:3], [""], LINE + ["a", "b", "c"], LINE]}
+    for name, rows in lines.items():
+        (tmp_path / name).write_text("".join(",".join(row) + "\n" for row in rows))
+    return str(tmp_path)
+
+
+def test_every_line_is_accounted_for(spark, tmp_path):
+    path = mixed_folder(tmp_path)
+    found = mg.tower_lines(spark, path).groupBy("width").agg(F.sum("line_count")).collect()
+    assert sorted(map(tuple, found)) == [(3, 1), (13, 4), (14, 1), (15, 1), (16, 1)]
+    with pytest.raises(ValueError, match="2 of 8 lines .*13 to 15 columns.*{3: 1, 16: 1}"):
+        mg.read_towers(spark, path)
+    df = mg.read_towers(spark, path, bad_lines="drop")
+    assert sorted(column(df, "average_signal"), key=str) == [-90, -91, None, None, None, None]
+    decimal = df.filter("cell = 9007199254740993").first()
+    assert (decimal.mcc, decimal.mnc, decimal.area, decimal.range) == (310, 260, 7, None)
+    assert df.filter("radio = 'L,TE'").first().lat == 40.25
+    assert df.filter("radio = 'LTE' AND cell = 9").count() == 4
+
+
+def test_bad_lines_of_headed_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("lat,lon,owner\n42.0,-77.0,me\n43.0,-78.0\n")
+    (tmp_path / "b.csv").write_text("lon,lat\n-79.0,44.0\n-79.0,45.0,you\n")
+    with pytest.raises(ValueError, match="2 of 4 lines"):
+        mg.read_towers(spark, str(tmp_path), header=True)
+    df = mg.read_towers(spark, str(tmp_path), header=True, bad_lines="drop")
+    assert sorted(column(df, "lat", "owner")) == [(42.0, "me"), (44.0, None)]
+    with pytest.raises(ValueError, match="raise or drop"):
+        mg.read_towers(spark, str(tmp_path), bad_lines="ignore")
+
+
+def test_empty_file(spark, tmp_path):
+    assert mg.read_towers(spark, write(tmp_path)).columns == [c for c in BASE_COLUMNS if c != "unit"]
+
+
+def test_unused_columns_are_not_parsed(spark, tmp_path):
+    plan = mg.read_towers(spark, write(tmp_path, LINE)).select("radio")._jdf.queryExecution()
+    assert "ReadSchema: struct<_c0:string>" in plan.executedPlan().toString()
