@@ -2,7 +2,17 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-LARGE_GROUPS = 1000
+from mastgrid.functions.durable import durable
+
+#: Ranks of ``percentile_approx`` are off by one part in ACCURACY of a group at most, so the
+#: value at a share that is twice that above n rows has n rows at or below it for certain.
+ACCURACY = 2000
+SHARES = [2.0**-k for k in range(10)]
+#: Groups of fewer rows are not cut; larger ones are if they hold more than one part in
+#: SENT_CUTS of all rows, so no more than SENT_CUTS cuts are ever sent to the tasks.
+CUT_ROWS, SENT_CUTS = 100_000, 100_000
+#: Passes that narrow a cut; each leaves about a thousandth of a large group.
+CUT_ROUNDS = 3
 
 
 def top(df, k, *order):
@@ -10,15 +20,73 @@ def top(df, k, *order):
     return df if k is None else df.orderBy(*order).limit(k)
 
 
+def cut_rows(df, n, keys, value):
+    """``df`` without most rows of large groups that can't be among the first ``n`` by ``value``.
+
+    ``value`` is a number by which the order starts. Narrow passes over the keys and the value
+    alone find one cut per large group; rows beyond it are dropped where they are read, before
+    any exchange, and at least the first ``n`` of each group and all its ties stay. Rows without
+    a value stay. Small groups aren't cut; equal values can't be told apart by one.
+    """
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*named, value.cast("double").alias("_value")).filter("_value IS NOT NULL")
+    cuts = None
+
+    def below(table, columns, value):
+        """Rows of ``table`` up to their group's cut, if it has one."""
+        if not keys:
+            return table.filter(value <= cuts.first()._cut)
+        same = [F.col(c).eqNullSafe(F.col(f"_of{i}")) for i, c in enumerate(columns)]
+        mine = cuts.select(*[F.col(c).alias(f"_of{i}") for i, c in enumerate(names)], "_cut")
+        return table.join(F.broadcast(mine), same, "left").filter(
+            F.col("_cut").isNull() | value.isNull() | (value <= F.col("_cut"))).select(*table.columns)
+
+    for _ in range(CUT_ROUNDS):
+        stats = rows.groupBy(*names).agg(
+            F.count("_value").alias("_n"),
+            F.percentile_approx("_value", F.array(*map(F.lit, SHARES)), F.lit(ACCURACY)).alias("_at"))
+        stats = durable(stats)  # a row per group
+        total = stats.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        share = F.lit(float(n)) / F.col("_n") + 2.0 / ACCURACY
+        place = F.floor(-F.log2(share)).cast("int")
+        large = stats.filter((F.col("_n") > max(CUT_ROWS, total // SENT_CUTS)) & (place >= 1))
+        found = large.select(*names, F.element_at("_at", F.least(place, F.lit(len(SHARES) - 1)) + 1).alias("_cut"))
+        if found.isEmpty():
+            break
+        # A group that was cut before and is small enough now keeps its cut.
+        before, cuts = cuts, found
+        if before is not None and keys:
+            same = [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in names]
+            cuts = before.alias("a").join(F.broadcast(found.alias("b")), same, "left").select(
+                *[f"a.{c}" for c in names], F.least("a._cut", "b._cut").alias("_cut"))
+        elif before is None and keys:
+            # From now on only the groups that were cut are looked at.
+            same = [F.col(c).eqNullSafe(F.col(f"_of{i}")) for i, c in enumerate(names)]
+            few = found.select(*[F.col(c).alias(f"_of{i}") for i, c in enumerate(names)])
+            rows = rows.join(F.broadcast(few), same, "left_semi")
+        cuts = durable(cuts)
+        rows = below(rows, names, F.col("_value"))
+    if cuts is None:
+        return df
+    return below(df, list(keys), value.cast("double"))
+
+
 def first_rows(df, n, keys, order):
     """The first ``n`` rows of each group, exactly, however large a group is.
 
-    Each scan task keeps ``n`` rows per group (WindowGroupLimit, for ``n`` up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold``). Those are merged in two steps, first
-    within a slice of the scan tasks and then over all slices, so that no task merges the
-    rows of every scan task at once.
+    Each scan task keeps ``n`` rows per group (WindowGroupLimit); for ``n`` beyond
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` large groups are cut by the first column
+    of the order where that is a number. What is left is merged in two steps, first within a
+    slice of the scan tasks and then over all slices, so that no task merges the rows of every
+    scan task at once.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    first = order[0]
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")) and isinstance(first, str) and (
+            df.schema[first].dataType.typeName() in ("integer", "long", "double")):
+        df = cut_rows(df, n, keys, F.col(first))
+    slices = int(conf.get("spark.sql.shuffle.partitions"))
     sliced = df.withColumn("_slice", F.spark_partition_id() % slices)
     for keys_of_step in ([*keys, "_slice"], list(keys)):
         window = Window.partitionBy(*keys_of_step).orderBy(*order)
@@ -38,50 +106,24 @@ def sample_order(df):
     return ["_key", *[c for c in ties if c in df.columns]]
 
 
-def _counts_by_prefix(keyed, *keys):
-    """Rows per leading four hex digits of the sample key: 65,536 counts per group at most."""
-    return keyed.groupBy(*keys, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
-
-
-def _rows_before(*keys):
-    """Rows with a lower prefix in the group."""
-    window = Window.partitionBy(*keys).orderBy("_prefix")
-    return F.sum("_rows").over(window) - F.col("_rows")
-
-
-def _with_key(df, seed):
+def _sampled(df, n, keys, seed):
+    """The rows among which the sample is, with their sample key."""
     keyed = df.withColumn("_key", sample_key(seed))
-    return keyed.withColumn("_prefix", F.substring("_key", 1, 4))
+    # 52 bits of the key are a number that a double holds.
+    leading = F.conv(F.substring("_key", 1, 13), 16, 10).cast("double")
+    return cut_rows(keyed, n, keys, leading)
 
 
 def sample_rows(df, n, seed=42):
     """Exactly ``min(n, rows)`` rows: those with the lowest sample keys.
 
-    A first narrow pass counts rows by the prefix of their keys and finds the prefix at which
-    ``n`` rows are reached. The second pass drops every row beyond that prefix at the scan,
-    so the final top-n sees little more than ``n`` rows and not ``n`` rows of every task.
+    Rows are cut by their keys at the scan, so the final top-n sees little more than ``n``
+    rows and not ``n`` rows of every task.
     """
-    keyed = _with_key(df, seed)
-    counts = _counts_by_prefix(keyed).withColumn("_before", _rows_before())
-    last = counts.filter(F.col("_before") < n).agg(F.max("_prefix")).scalar()
-    kept = keyed.filter(F.col("_prefix") <= last)
-    return kept.orderBy(*sample_order(df)).limit(n).drop("_key", "_prefix")
+    return _sampled(df, n, [], seed).orderBy(*sample_order(df)).limit(n).drop("_key")
 
 
 def sample_rows_by(df, n, keys, seed=42):
-    """Exactly ``min(n, rows)`` rows of each group: those with the lowest sample keys.
-
-    The ``LARGE_GROUPS`` largest groups are cut at their prefix as in ``sample_rows``; that
-    many rows at most are broadcast. Any further, smaller groups go on whole.
-    """
-    keyed = _with_key(df, seed)
-    groups = _counts_by_prefix(keyed, *keys).withColumn("_before", _rows_before(*keys))
-    last = F.max(F.when(F.col("_before") < n, F.col("_prefix"))).alias("_last")
-    cuts = groups.groupBy(*keys).agg(last, F.sum("_rows").alias("_total"))
-    largest = cuts.orderBy(F.desc("_total"), *keys).limit(LARGE_GROUPS)
-    largest = largest.select(*[F.col(c).alias(f"_{c}") for c in keys], "_last")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    kept = keyed.join(F.broadcast(largest), same, "left").filter(
-        F.col("_last").isNull() | (F.col("_prefix") <= F.col("_last"))
-    )
-    return first_rows(kept.select(*df.columns, "_key"), n, keys, sample_order(df)).drop("_key")
+    """Exactly ``min(n, rows)`` rows of each group: those with the lowest sample keys."""
+    kept = _sampled(df, n, list(keys), seed)
+    return first_rows(kept.select(*df.columns, "_key"), n, list(keys), sample_order(df)).drop("_key")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rows import column, towers
 
 import mastgrid as mg
+from mastgrid.functions import select
 from mastgrid.functions.durable import durable, shared_folder
 from mastgrid.functions.select import first_rows
 from mastgrid.plans.report import summary_tables, write_report
@@ -146,6 +147,50 @@ def test_first_rows_of_a_hot_group(spark):
     assert sorted(column(rows, "id")) == [0, 1, 2, 3, 4, 5, 100, 200, 300, 400]
 
 
+@pytest.fixture
+def small_cuts(monkeypatch):
+    """Cut groups of a few rows, as large ones are."""
+    monkeypatch.setattr(select, "CUT_ROWS", 40)
+    monkeypatch.setattr(select, "ACCURACY", 200)
+
+
+def test_rows_are_cut_before_the_exchange(spark, small_cuts):
+    df = spark.range(30_000).select(
+        (F.col("id") * 7919 % 30_000).alias("id"), (F.col("id") % 100 == 0).alias("rare"),
+        F.when(F.col("id") % 2 == 0, "a").alias("kind")).repartition(13)
+    rows = first_rows(df, 1500, ["kind"], ["id"])
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    cut = next(i for i, line in enumerate(lines) if "Filter" in line and "_cut" in line)
+    assert any("Exchange hashpartitioning(kind" in line for line in lines[:cut])
+    for kind in ("a", None):
+        mine = F.col("kind").eqNullSafe(F.lit(kind))
+        wanted = sorted(column(df.filter(mine), "id"))[:1500]
+        assert sorted(column(rows.filter(mine), "id")) == wanted
+    kept = select.cut_rows(df, 100, ["kind"], F.col("id"))
+    assert 200 <= kept.count() < 1500
+    assert select.cut_rows(df, 100, [], F.col("id")).count() < 1000
+
+
+def test_cut_keeps_ties_and_missing_values(spark, small_cuts):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("v"), "id")
+    rows = first_rows(df, 1200, [], ["v", "id"])
+    assert rows.filter("v IS NULL").count() == 1000 and rows.count() == 1200
+    assert select.cut_rows(df.limit(0), 5, [], F.col("v")).count() == 0
+
+
+@pytest.mark.parametrize("n", [20, 1100])
+def test_samples_are_the_same_with_and_without_cuts(spark, n, monkeypatch):
+    table = mg.clean_towers(towers_from_lineitem(spark.read.parquet(DATA)))
+    found = []
+    for least in (10**9, 30):
+        monkeypatch.setattr(select, "CUT_ROWS", least)
+        monkeypatch.setattr(select, "ACCURACY", 200)
+        both = (mg.tower_sample(table, n), mg.tower_sample(table, n, by=["radio"]))
+        found.append([sorted(map(tuple, x.collect())) for x in both])
+    assert found[0] == found[1] and len(found[0][0]) == n
+
+
 def test_durable_tables_are_in_the_shared_folder(spark):
     kept = durable(towers(spark, {}))
     assert shared_folder(spark).removeprefix("file:") in kept.inputFiles()[0]
