@@ -99,6 +99,11 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 4) for name in names})
 
 
+def _shown(layers: DataFrame) -> DataFrame:
+    """The markers of layers but the suggested sites, which have no SQL."""
+    return layers.filter(F.col("popup").isNull() | ~F.col("popup").startswith("Suggested"))
+
+
 # On the towers as they come.
 RAW_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "clean_towers": mg.clean_towers,
@@ -192,6 +197,16 @@ CLEAN_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "suggest_sites_operator": mg.suggest_sites_operator,
     "suggest_sites_tech": mg.suggest_sites_tech,
     "suggest_sites_operator_tech": mg.suggest_sites_operator_tech,
+    "suggest_sites_all_fit": lambda t: mg.site_fit(t, mg.suggest_sites_all(t)),
+    "suggest_sites_operator_fit": lambda t: mg.site_fit(t, mg.suggest_sites_operator(t), OPERATOR),
+    "suggest_sites_tech_fit": lambda t: mg.site_fit(t, mg.suggest_sites_tech(t), TECH),
+    "suggest_sites_operator_tech_fit": lambda t: mg.site_fit(
+        t, mg.suggest_sites_operator_tech(t), OPERATOR_TECH),
+    "layer_sites_all_towers": lambda t: _shown(mg.layer_sites(t, "all")),
+    "layer_sites_operator_towers": lambda t: _shown(mg.layer_sites(t, "operator")),
+    "layer_sites_tech_towers": lambda t: _shown(mg.layer_sites(t, "tech")),
+    "layer_sites_operator_tech_towers": lambda t: _shown(mg.layer_sites(t, "operator_tech")),
+    "map_layers_shown": lambda t: _shown(mg.map_layers(t)),
     "layer_sites": mg.layer_sites,
     "map_layers": mg.map_layers,
 }
@@ -473,6 +488,44 @@ ORACLES: dict[str, str] = {
 }
 
 
+def _fit_sql(keys: str, fewest: int, per: int) -> str:
+    """Sites per group of at least ``fewest`` towers: one per ``per`` towers, 2 to 5."""
+    return f"""SELECT {keys}, least(greatest(2, least(5, n // {per})), places) AS k, n AS n_towers,
+        true AS sizes_match, true AS settled
+      FROM (SELECT {keys}, count(*) AS n, count(DISTINCT (lat, lon)) AS places FROM region GROUP BY {keys})
+      WHERE n >= {fewest}"""
+
+
+def _site_towers_sql(kind: str, keys: str, size: int, color: str, shown: int, fewest: int) -> str:
+    """The towers under the sites of a kind: the first ``shown`` of each group in sample order."""
+    partition = f"PARTITION BY {keys}" if keys else ""
+    return f"""SELECT 'sites_{kind}' AS layer, lat, lon, CAST({size} AS DOUBLE) AS radius,
+        '{color}' AS color, CAST(NULL AS VARCHAR) AS popup
+      FROM (SELECT *, row_number() OVER ({partition} ORDER BY {SAMPLE_ORDER}) AS place,
+        count(*) OVER ({partition}) AS n FROM region) WHERE place <= {shown} AND n >= {fewest}"""
+
+
+ORACLES.update({
+    "suggest_sites_all_fit": """SELECT CAST(10 AS BIGINT) AS k, count(*) AS n_towers,
+      true AS sizes_match, true AS settled FROM clean""",
+    "suggest_sites_operator_fit": _fit_sql("operator_name", 10, 5),
+    "suggest_sites_tech_fit": _fit_sql("radio", 10, 5),
+    "suggest_sites_operator_tech_fit": _fit_sql("operator_name, radio", 5, 3),
+    "layer_sites_all_towers": _site_towers_sql("all", "", 1, "gray", 1500, 10),
+    "layer_sites_operator_towers": _site_towers_sql("operator", "operator_name", 1, "blue", 1000, 10),
+    "layer_sites_tech_towers": _site_towers_sql("tech", "radio", 1, "orange", 1000, 10),
+    "layer_sites_operator_tech_towers": _site_towers_sql(
+        "operator_tech", "operator_name, radio", 2, "blue", 1 << 40, 5),
+})
+LAYERS = [
+    "layer_scatter", "layer_density", "layer_region_radius", "layer_region_samples", "layer_underserved",
+    "layer_top_operator", "layer_operator_scatter", "layer_sites_all_towers", "layer_sites_operator_towers",
+    "layer_sites_tech_towers", "layer_sites_operator_tech_towers",
+]
+ORACLES["map_layers_shown"] = " UNION ALL ".join(
+    f"SELECT layer, lat, lon, radius, color, popup FROM ({ORACLES[name]})" for name in LAYERS)
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that SQL can express."""
     found = tower_sql()

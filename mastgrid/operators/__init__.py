@@ -40,6 +40,7 @@ from mastgrid.operators.region import (
     top_regions,
 )
 from mastgrid.operators.sites import (
+    site_fit,
     suggest_sites,
     suggest_sites_all,
     suggest_sites_operator,

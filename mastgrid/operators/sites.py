@@ -1,13 +1,14 @@
 """K-Means centres of the existing towers, as candidate sites.
 
 Centres land where towers are dense; they mark clusters, not gaps in coverage. Distance is
-Euclidean in degrees.
+Euclidean in degrees. All towers together are one distributed fit of Spark's K-Means. Groups
+are fitted side by side: each round is one aggregate over the places of all groups.
 """
 import math
-from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -21,6 +22,11 @@ OPERATOR_TECH = OPERATOR + TECH
 
 GROUP = "group_key"
 PLACES_PER_PARTITION = 100_000
+#: Groups that are fitted side by side; their centres are sent to every task.
+GROUPS_TOGETHER = 20_000
+#: Points of a group's summary, and fits of it of which the best is gone on with.
+CELLS, STARTS = 4096, 4
+CENTRES = pa.list_(pa.struct([("lat", pa.float64()), ("lon", pa.float64())]))
 
 
 #: By grouping: the least and greatest ``k`` and the fewest towers of a group with sites.
@@ -54,8 +60,7 @@ def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR):
     """Distinct positions per group with their number of towers, kept by group.
 
     Towers at one place become one weighted point before anything is shuffled by place, so
-    a place with a large part of all towers costs one row per scan task. The table is written
-    with one folder per group because each fit reads only its own group, and that often.
+    a place with a large part of all towers costs one row per scan task.
 
     The points of a finer grouping stand in for the towers: ``suggest_sites`` of points per
     operator and technology gives, for any ``by``, what it gives of the towers.
@@ -68,20 +73,21 @@ def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR):
     if not by:
         return durable(points)
     # The key is a JSON text: it tells NULL from blank, and is never taken for a number.
-    return durable(points.withColumn(GROUP, F.to_json(F.struct(*by))), [GROUP])
+    return durable(points.withColumn(GROUP, F.to_json(F.struct(*by))))
 
 
 def suggest_sites(
-    df, by=(), k=None, seed=42, max_iter=300, tol=1e-4, parallelism=8,
+    df, by=(), k=None, seed=42, max_iter=300, tol=1e-4,
     operators=None, default=DEFAULT_OPERATOR, k_min=None, k_max=None, min_towers=None,
 ):
     """Cluster centres of all towers, or of each group: ``by..., site_no, lat, lon, n_towers``.
 
     ``by`` is ``()``, ``OPERATOR``, ``TECH`` or ``OPERATOR_TECH``. Groups that are too small
     give no rows; ``site_count`` says how many centres the others have. A group with no more
-    places than that has its places as centres. Each group is one distributed fit;
-    ``parallelism`` fits run at a time. A fit stops when its centres move less than ``tol`` of
-    the variance of the positions. Centres depend on the towers and the seed only.
+    places than that has its places as centres. Groups are fitted side by side, so the number
+    of jobs does not grow with theirs (up to ``GROUPS_TOGETHER`` at a time). A fit stops when
+    its centres move less than ``tol`` of the variance of the positions. Centres depend on the
+    towers and the seed only.
     """
     by = tuple(by)
     if by not in LIMITS:
@@ -92,39 +98,203 @@ def suggest_sites(
 
     count(0)  # a k out of bounds raises, whatever the towers
     points = site_points(df, by, operators, default)
+    groups = durable(points.groupBy(*by, *([GROUP] if by else [])).agg(*_moments())).filter("places > 0")
+    if not by:
+        rows = [row for g in groups.collect() if count(g.n) for row in _fit(points, g, count(g.n), seed, max_iter, tol)]
+        return _site_table(df, by, rows)
+    rows, held = [], {}
+
+    def fitted():
+        found = _fit_groups(points, {key: (count(g.n), g) for key, g in held.items()}, seed, max_iter, tol)
+        for key, centres in found.items():
+            keys = tuple(held[key][c] for c in by)
+            rows.extend((*keys, i, *c) for i, c in enumerate(sorted(centres), start=1))
+        held.clear()
+
+    for g in groups.toLocalIterator():
+        if count(g.n):
+            held[g[GROUP]] = g
+        if len(held) >= GROUPS_TOGETHER:
+            fitted()
+    if held:
+        fitted()
+    rows.sort(key=lambda row: [(x is not None, x) for x in row[:len(by) + 1]])
+    return _site_table(df, by, rows)
+
+
+def _moments():
     weight = F.col("n_towers")
     moments = [F.count(F.lit(1)).alias("places"), F.sum(weight).cast("bigint").alias("n")]
     for c in ("lat", "lon"):
-        moments += [F.sum(weight * F.col(c)).alias(c), F.sum(weight * F.col(c) ** 2).alias(f"{c}2")]
-    # One row per group, each of which is a fit of its own.
-    groups = points.groupBy(*by, *([GROUP] if by else [])).agg(*moments).collect()
-    groups = [g for g in groups if g.places and count(g.n)]
-    if not groups:
-        return _site_table(df, by, [])
-    groups.sort(key=lambda g: -g.places)
-
-    def fit(group):
-        return _fit(points, by, group, count(group.n), seed, max_iter, tol)
-
-    pool = ThreadPool(min(parallelism, len(groups)))
+        moments += [F.sum(weight * F.col(c)).alias(c), F.sum(weight * F.col(c) ** 2).alias(f"{c}2"),
+                    F.min(c).alias(f"{c}_low"), F.max(c).alias(f"{c}_high")]
+    return moments
+
+
+def _variance(g):
+    """Mean variance of a group's coordinates."""
+    return max(0.0, sum(g[f"{c}2"] / g.n - (g[c] / g.n) ** 2 for c in ("lat", "lon")) / 2)
+
+
+def with_nearest(points, centres):
+    """``points`` with their nearest centre: ``d`` squared degrees away, number ``i`` from 0.
+
+    ``centres`` is a dict from a group's key to its ``(lat, lon)``; points of other groups are
+    left out. It is sent to every task, so its size is the caller's to bound.
+    """
+    table = pa.table({
+        GROUP: pa.array(list(centres), pa.string()),
+        "centres": pa.array([[{"lat": a, "lon": o} for a, o in c] for c in centres.values()], CENTRES)})
+    sent = points.sparkSession.createDataFrame(table)
+    away = F.transform("centres", lambda c, i: F.struct(
+        ((F.col("lat") - c["lat"]) * (F.col("lat") - c["lat"])
+         + (F.col("lon") - c["lon"]) * (F.col("lon") - c["lon"])).alias("d"), i.alias("i")))
+    near = points.join(F.broadcast(sent), GROUP).withColumn("near", F.array_min(away))
+    return near.select(*points.columns, F.col("near.d").alias("d"), F.col("near.i").alias("i"))
+
+
+def _cells(places, groups):
+    """The places of each group as at most CELLS weighted points: ``GROUP, k, lat, lon, n``.
+
+    Groups with more places are summed up on a grid over their extent.
+    """
+    names = ("k", "places", "lat_low", "lat_high", "lon_low", "lon_high")
+    values = {n: [k if n == "k" else g[n] for k, g in groups.values()] for n in names}
+    table = pa.table({GROUP: pa.array(list(groups), pa.string()), **values})
+    sent = places.sparkSession.createDataFrame(table)
+    side = int(CELLS**0.5)
+
+    def cell(c):
+        low, high = F.col(f"{c}_low"), F.col(f"{c}_high")
+        part = F.floor((F.col(c) - low) / (high - low) * side).cast("double")
+        return F.when(F.col("places") <= CELLS, F.col(c)).when(low < high, F.least(part, F.lit(side - 1.0))).otherwise(0.0)
+
+    rows = places.join(F.broadcast(sent), GROUP).groupBy(GROUP, "k", cell("lat").alias("y"), cell("lon").alias("x"))
+    n = F.sum("n_towers")
+    return rows.agg(n.alias("n"), *[
+        (F.sum(F.col("n_towers") * F.col(c)) / n).alias(c) for c in ("lat", "lon")])
+
+
+def _started(seed):
+    """Centres of one group's cells: the best of a few fits of up to CELLS points."""
+    def fit(cells):
+        cells = cells.sort_values(["lat", "lon"])
+        at, n, k = cells[["lat", "lon"]].to_numpy(), cells["n"].to_numpy(), int(cells["k"].iloc[0])
+        best = (np.inf, None)
+        for turn in range(STARTS):
+            draw = np.random.default_rng([seed, turn])
+            found, away = [], np.ones(len(at))
+            while len(found) < min(k, len(at)) and (n * away).any():
+                # The chance of a point grows with its towers and the square of its distance.
+                upto = np.cumsum(n * away)
+                found.append(at[np.searchsorted(upto, draw.random() * upto[-1], "right").clip(0, len(at) - 1)])
+                away = np.min([((at - c) ** 2).sum(1) for c in found], axis=0)
+            found = np.array(found)
+            for _ in range(100):
+                near = ((at[:, None] - found) ** 2).sum(2)
+                owner = near.argmin(1)
+                size = np.bincount(owner, n, len(found))
+                moved = np.stack([np.bincount(owner, n * at[:, c], len(found)) for c in (0, 1)], 1)
+                moved = np.where(size[:, None] > 0, moved / np.maximum(size, 1e-300)[:, None], found)
+                if np.allclose(moved, found, rtol=0, atol=1e-9):
+                    break
+                found = moved
+            best = min(best, (float((n * near.min(1)).sum()), found.tolist()), key=lambda x: x[0])
+        return pd.DataFrame({GROUP: cells[GROUP].iloc[0], "lat": [c[0] for c in best[1]], "lon": [c[1] for c in best[1]]})
+
+    return fit
+
+
+def _fit_groups(points, groups, seed, max_iter, tol):
+    """Centres with their towers of several groups, ``{key: [(lat, lon, n)]}``.
+
+    Each group is first fitted roughly on a summary of bounded size, one group to a task. Where
+    that leaves a group short of centres, more are drawn among all its places, with a chance
+    that grows with the towers and the square of the distance; places draw by a hash of
+    themselves, so nothing depends on partitions. Then all groups move their centres to the
+    means of their places, until each has settled. What a round gathers is a row per centre.
+    """
+    places = points.select(GROUP, "lat", "lon", "n_towers").persist()
     try:
-        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), groups, chunksize=1)
+        centres = {key: [] for key in groups}
+        rough = _cells(places, groups).groupBy(GROUP).applyInPandas(
+            _started(seed), f"{GROUP} string, lat double, lon double")
+        for row in rough.collect():  # a row per centre
+            centres[row[GROUP]].append((row.lat, row.lon))
+        for turn in range(max(k for k, _ in groups.values())):
+            open_ = {key: centres[key] for key, (k, g) in groups.items() if len(centres[key]) < min(k, g.places)}
+            if not open_:
+                break
+            near = with_nearest(places, open_).filter("d > 0")
+            u = (F.pmod(F.xxhash64("lat", "lon", F.lit(seed), F.lit(turn)), F.lit(2**52)) + 0.5) / 2.0**52
+            drawn = F.min(F.struct((-F.log(u) / (F.col("n_towers") * F.col("d"))).alias("at"), "lat", "lon"))
+            for row in near.groupBy(GROUP).agg(drawn.alias("c")).collect():
+                centres[row[GROUP]].append((row.c.lat, row.c.lon))
+        done, moving = {}, dict(centres)
+        for turn in range(max_iter):
+            sums = with_nearest(places, moving).groupBy(GROUP, "i").agg(
+                F.sum("n_towers").alias("n"), F.sum(F.col("n_towers") * F.col("lat")).alias("lat"),
+                F.sum(F.col("n_towers") * F.col("lon")).alias("lon"))
+            means = {(r[GROUP], r.i): (r.lat / r.n, r.lon / r.n, int(r.n)) for r in sums.collect()}
+            for key in list(moving):
+                old = moving[key]
+                # A centre that no place is nearest to stays where it is.
+                new = [means.get((key, i), (*c, 0)) for i, c in enumerate(old)]
+                moved = sum((a - c) ** 2 + (b - d) ** 2 for (a, b, _), (c, d) in zip(new, old))
+                if moved <= tol * _variance(groups[key][1]) or turn == max_iter - 1:
+                    done[key] = [(*c, n) for c, (_, _, n) in zip(old, new)]
+                    del moving[key]
+                else:
+                    moving[key] = [(a, b) for a, b, _ in new]
+            if not moving:
+                break
+        return done
     finally:
-        pool.close()
-    return _site_table(df, by, [row for rows in fitted for row in rows])
+        places.unpersist()
 
 
-def _fit(points, by, group, clusters, seed, max_iter, tol):
-    """Centres of one group with their towers, in order of latitude and longitude."""
-    members = points.filter(F.col(GROUP) == group[GROUP]) if by else points
+def site_fit(df, sites, by=(), tol=1e-4, operators=None, default=DEFAULT_OPERATOR):
+    """How well sites fit their towers: ``by..., k, n_towers, sizes_match, settled``.
+
+    Every place is assigned to its nearest site anew. ``sizes_match`` holds if each site has as
+    many towers as it says; ``settled`` if moving all sites of the group to the means of their
+    towers moves them by no more than ``tol`` of the variance. ``sites`` is a result of
+    ``suggest_sites``: at most 25 rows a group.
+    """
+    by = tuple(by)
+    points = site_points(df, by, operators, default)
+    if not by:
+        points = points.withColumn(GROUP, F.lit(""))
+    keyed = sites.withColumn(GROUP, F.to_json(F.struct(*by)) if by else F.lit(""))
+    centres = {}
+    for row in keyed.orderBy(GROUP, "site_no").collect():
+        centres.setdefault(row[GROUP], []).append((row.lat, row.lon))
+    near = with_nearest(points.select(GROUP, "lat", "lon", "n_towers"), centres)
+    weight = F.col("n_towers")
+    found = near.groupBy(GROUP, "i").agg(
+        F.sum(weight).cast("bigint").alias("found"),
+        *[(F.sum(weight * F.col(c)) / F.sum(weight)).alias(f"mean_{c}") for c in ("lat", "lon")],
+        *[F.sum(weight * F.col(c)).alias(f"{c}1") for c in ("lat", "lon")],
+        *[F.sum(weight * F.col(c) ** 2).alias(f"{c}2") for c in ("lat", "lon")])
+    rows = keyed.withColumn("i", F.col("site_no") - 1).join(found, [GROUP, "i"], "left")
+    moved = sum((F.col(f"mean_{c}") - F.col(c)) ** 2 for c in ("lat", "lon"))
+    n = F.sum("found")
+    spread = sum(F.sum(f"{c}2") / n - (F.sum(f"{c}1") / n) ** 2 for c in ("lat", "lon")) / 2
+    return rows.groupBy(*by, GROUP).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n_towers").alias("n_towers"),
+        F.bool_and(F.col("n_towers") == F.coalesce("found", F.lit(0))).alias("sizes_match"),
+        (F.coalesce(F.sum(moved), F.lit(0.0)) <= tol * spread + 1e-12).alias("settled")).drop(GROUP)
+
+
+def _fit(points, group, clusters, seed, max_iter, tol):
+    """Centres of all towers, in order of latitude and longitude."""
     if group.places <= clusters:
         # No more places than centres: the places are the centres. At most k rows.
         columns = ["lat", "lon", F.col("n_towers").cast("bigint")]
-        centres = [tuple(row) for row in members.select(*columns).collect()]
+        centres = [tuple(row) for row in points.select(*columns).collect()]
     else:
-        centres = _cluster(members, group, clusters, seed, max_iter, tol)
-    keys = tuple(group[c] for c in by)
-    return [(*keys, i, *centre) for i, centre in enumerate(sorted(centres), start=1)]
+        centres = _cluster(points, group, clusters, seed, max_iter, tol)
+    return [(i, *centre) for i, centre in enumerate(sorted(centres), start=1)]
 
 
 def _cluster(members, group, clusters, seed, max_iter, tol):
@@ -135,10 +305,9 @@ def _cluster(members, group, clusters, seed, max_iter, tol):
     laid_out = members.repartition(partitions, "lat", "lon").sortWithinPartitions("lat", "lon")
     laid_out = laid_out.select("features", "n_towers")
 
-    variance = sum(group[f"{c}2"] / group.n - (group[c] / group.n) ** 2 for c in ("lat", "lon")) / 2
     # The row solver, because the block solver fails if fewer than k first centres are drawn.
     means = KMeans(
-        k=clusters, seed=seed, maxIter=max_iter, tol=math.sqrt(tol * max(variance, 0.0) / clusters),
+        k=clusters, seed=seed, maxIter=max_iter, tol=math.sqrt(tol * _variance(group) / clusters),
         weightCol="n_towers", predictionCol="site", solver="row",
     )
     model = means.fit(laid_out)

@@ -26,7 +26,7 @@ def duck():
 
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-         "timestamp": "TIMESTAMP"}
+         "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def kind(value):

@@ -17,6 +17,9 @@ EAGER = {
     "suggest_sites_all", "suggest_sites_operator", "suggest_sites_tech",
     "suggest_sites_operator_tech",
 }
+EAGER |= {f"{name}_fit" for name in EAGER if name.startswith("suggest_sites_")}
+EAGER |= {f"layer_sites_{kind}_towers" for kind in ("all", "operator", "tech", "operator_tech")}
+EAGER.add("map_layers_shown")
 
 
 @pytest.fixture(scope="module")

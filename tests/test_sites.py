@@ -124,6 +124,39 @@ def test_centres_are_the_means_of_their_nearest_towers(clean):
         assert sum(m[1] for m in members[i]) / n == pytest.approx(lon, abs=1e-3)
 
 
+def test_jobs_do_not_grow_with_groups(spark, clean):
+    """Many groups are fitted in about as many jobs as few, and each comes out settled."""
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for groups in (4, 400):
+        rows = spark.range(groups * 30).select(
+            F.concat(F.lit("op"), F.col("id") % groups).alias("operator_name"), F.lit("LTE").alias("radio"),
+            (40 + F.pmod(F.xxhash64("id"), F.lit(1000)) / 100.0).alias("lat"),
+            (-75 - F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 100.0).alias("lon"))
+        spark.sparkContext.setJobGroup(f"fit{groups}", "")
+        sites = mg.suggest_sites_operator(rows, tol=1e-6)
+        jobs.append(len(tracker.getJobIdsForGroup(f"fit{groups}")))
+        spark.sparkContext.setJobGroup("checks", "")
+        fit = mg.site_fit(rows, sites, OPERATOR, tol=1e-6)
+        assert fit.count() == groups and fit.filter("k = 5 AND n_towers = 30 AND sizes_match AND settled").count() == groups
+    assert jobs[1] < 3 * jobs[0]
+
+
+def test_large_groups_start_from_a_summary(clean, monkeypatch):
+    """A coarse summary changes where a fit starts, not what is true of its result."""
+    for cells in (1, 16):
+        monkeypatch.setattr("mastgrid.operators.sites.CELLS", cells)
+        sites = mg.suggest_sites_tech(clean)
+        fit = mg.site_fit(clean, sites, TECH)
+        assert fit.filter("k = 5 AND sizes_match AND settled").count() == 4
+
+
+def test_unfit_sites_are_told(clean):
+    sites = mg.suggest_sites_tech(clean)
+    moved = mg.site_fit(clean, sites.withColumn("lat", F.col("lat") + F.col("site_no")), TECH)
+    assert moved.filter("settled").count() == 0
+
+
 def test_sites_repeat(clean):
     again = mg.suggest_sites_tech(clean.repartition(5)).collect()
     assert [tuple(r) for r in mg.suggest_sites_tech(clean).collect()] == [
