@@ -99,6 +99,13 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 4) for name in names})
 
 
+def _operator_table(towers: DataFrame) -> DataFrame:
+    """A table of operators that follows from the towers: some codes are named, one twice."""
+    codes = towers.select("mcc", "mnc").distinct().filter("mnc <> 120")
+    names = F.explode(F.array(F.concat(F.lit("net "), "mnc"), F.concat(F.lit("old "), "mnc")))
+    return codes.select("mcc", "mnc", names.alias("operator_name"))
+
+
 def _shown(layers: DataFrame) -> DataFrame:
     """The markers of layers but the suggested sites, which have no SQL."""
     return layers.filter(F.col("popup").isNull() | ~F.col("popup").startswith("Suggested"))
@@ -185,7 +192,12 @@ CLEAN_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "tower_sample": mg.tower_sample,
     "density_grid": mg.density_grid,
     "density_grid_half_degree": lambda t: mg.density_grid(t, 0.5),
-    "tower_summary": tower_summary,
+    "tower_summary": lambda t: tower_summary(t).withColumns(
+        {name: F.col(name).cast("double") for name in ("range_squares", "samples_squares")}),
+    "with_operator_table": lambda t: mg.with_operator(t, _operator_table(t), "Unknown").select(
+        "mcc", "mnc", "cell", "operator_name"),
+    "operator_tech_count_table": lambda t: mg.operator_tech_count(
+        t, operators=_operator_table(t), default="Unknown"),
     "layer_scatter": mg.layer_scatter,
     "layer_density": mg.layer_density,
     "layer_region_radius": mg.layer_region_radius,
@@ -366,6 +378,10 @@ ORACLES: dict[str, str] = {
     "with_operator_code": """SELECT mcc, mnc, CAST(CAST(mcc AS VARCHAR) || CAST(mnc AS VARCHAR)
       AS INT) AS operator FROM clean""",
     "with_operator": "SELECT mcc, mnc, cell, operator_name FROM region",
+    "with_operator_table": """SELECT mcc, mnc, cell,
+      CASE WHEN mnc = 120 THEN 'Unknown' ELSE 'net ' || mnc END AS operator_name FROM region""",
+    "operator_tech_count_table": f"""SELECT CASE WHEN mnc = 120 THEN 'Unknown' ELSE 'net ' || mnc END
+      AS operator_name, radio, {COUNT} FROM clean GROUP BY 1, 2""",
     "with_tech_color": f"SELECT radio, cell, {TECH_COLOR} AS color FROM clean",
     "with_operator_color": f"SELECT operator_name, cell, {OPERATOR_COLOR} AS color FROM region",
     "created_parsed": """SELECT area, cell, make_timestamp(created * 1000000) AS created_ts, year

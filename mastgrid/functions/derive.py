@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mastgrid.functions.durable import durable
 from mastgrid.functions.numeric import to_int_half_even, to_int_half_up
 from mastgrid.schema import (
     DEFAULT_COLOR,
@@ -20,14 +21,26 @@ ROUNDING = {"half_up": to_int_half_up, "half_even": to_int_half_even}
 BROADCAST_ROWS = 100_000
 
 
+#: Where a region column says by which rule it was rounded.
+RULE = "rounding"
+
+
 def with_region(df, mode="half_up"):
-    """Add the one-degree region key ``lat_r, lon_r``; a table that has it is left as it is."""
+    """Add the one-degree region key ``lat_r, lon_r``.
+
+    The columns record the rule. A table that has them is left as it is, but one whose regions
+    were made by another rule raises.
+    """
     if mode not in ROUNDING:
         raise ValueError(f"mode is one of {sorted(ROUNDING)}, not {mode!r}")
     if set(REGION) <= set(df.columns):
+        made = {df.schema[name].metadata.get(RULE, mode) for name in REGION}
+        if made != {mode}:
+            raise ValueError(f"the table's regions were made by {sorted(made)}, not by {mode!r}")
         return df
     to_int = ROUNDING[mode]
-    return df.withColumns({"lat_r": to_int(F.col("lat")), "lon_r": to_int(F.col("lon"))})
+    keys = [to_int(F.col(c)).alias(name, metadata={RULE: mode}) for c, name in zip(("lat", "lon"), REGION)]
+    return df.select("*", *keys)
 
 
 def with_tower_id(df, full_key=False):
@@ -94,16 +107,37 @@ def with_operator_code(df):
 def with_operator(df, operators=None, default=DEFAULT_OPERATOR):
     """Add ``operator_name`` looked up by ``(mcc, mnc)``, ``default`` where there is none.
 
-    ``operators`` is a dict ``{(mcc, mnc): name}`` or a table ``mcc, mnc, operator_name``.
-    A dict of a known small size is broadcast. For a table Spark decides by its measured
-    size; a pair named twice there gets the alphabetically first name, so no row doubles.
+    ``operators`` is a dict ``{(mcc, mnc): name}`` or a table ``mcc, mnc, operator_name``; a pair
+    named twice there gets the alphabetically first name, so no row doubles. A dict of a known
+    small size is broadcast. Of a table only the names of codes that occur are of use: the codes
+    are counted first, and the names of all of them are broadcast, or of the common ones if
+    they are more than BROADCAST_ROWS. So the towers are never exchanged by a common code.
     """
     if "operator_name" in df.columns:
         return df
-    if isinstance(operators, DataFrame):
-        lookup = operators.groupBy("mcc", "mnc").agg(F.min("operator_name").alias("_name"))
-    else:
-        lookup = _lookup_table(df.sparkSession, OPERATORS if operators is None else operators)
+    if not isinstance(operators, DataFrame):
+        operators = OPERATORS if operators is None else operators
+        if len(operators) <= BROADCAST_ROWS:
+            return _named(df, F.broadcast(_lookup_table(df.sparkSession, operators)), default)
+        operators = _lookup_table(df.sparkSession, operators).withColumnRenamed("_name", "operator_name")
+    codes = df.groupBy("mcc", "mnc").agg(F.count(F.lit(1)).alias("_rows"))
+    names = operators.groupBy("mcc", "mnc").agg(F.min("operator_name").alias("_name"))
+    used = durable(codes.join(names, ["mcc", "mnc"], "left"))
+    total = used.agg(F.count(F.lit(1)).alias("codes"), F.sum("_rows").alias("rows")).first()
+    if total.codes <= BROADCAST_ROWS:
+        return _named(df, F.broadcast(used.filter("_name IS NOT NULL").drop("_rows")), default)
+    # At most BROADCAST_ROWS codes can have more than that part of all rows.
+    common = used.filter(F.col("_rows") > total.rows // BROADCAST_ROWS).drop("_rows")
+    marked = F.broadcast(common.withColumn("_common", F.lit(True)))
+    split = df.join(marked, ["mcc", "mnc"], "left")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    often = split.filter("_common OR mcc IS NULL OR mnc IS NULL")
+    often = often.select(*columns, F.coalesce("_name", F.lit(default)).alias("operator_name"))
+    rare = split.filter("_common IS NULL AND mcc IS NOT NULL AND mnc IS NOT NULL").select(*columns)
+    return often.union(_named(rare, used.filter("_name IS NOT NULL").drop("_rows"), default))
+
+
+def _named(df, lookup, default):
     joined = df.join(lookup, ["mcc", "mnc"], "left")
     name = F.coalesce(F.col("_name"), F.lit(default)).alias("operator_name")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], name)
@@ -111,13 +145,11 @@ def with_operator(df, operators=None, default=DEFAULT_OPERATOR):
 
 def _lookup_table(spark, operators):
     rows = sorted(operators.items())
-    table = pa.table({
+    return spark.createDataFrame(pa.table({
         "mcc": pa.array([pair[0] for pair, _ in rows], pa.int32()),
         "mnc": pa.array([pair[1] for pair, _ in rows], pa.int32()),
         "_name": pa.array([name for _, name in rows], pa.string()),
-    })
-    lookup = spark.createDataFrame(table)
-    return F.broadcast(lookup) if len(rows) <= BROADCAST_ROWS else lookup
+    }))
 
 
 def named_operator(name, operators=None, default=DEFAULT_OPERATOR):

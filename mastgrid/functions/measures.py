@@ -41,10 +41,26 @@ def spread(df, name):
     return spread_of(*sums, F.min(f"{name}_min"), F.max(f"{name}_max"))
 
 
+def square(name):
+    """A whole number squared, without loss."""
+    exact = F.col(name).cast("decimal(19,0)")
+    return exact * exact
+
+
 def spread_of(n, total, squares, low, high):
-    """Sample standard deviation from a count, a sum and a sum of squares."""
-    total = total.cast("double")
-    variance = (squares - total * total / n) / (n - 1)
+    """Sample standard deviation from a count, a sum and a sum of squares of whole numbers.
+
+    Sums of squares are ``decimal(38,0)`` and the difference of two large products is taken
+    before anything is rounded; only where it has more digits than that, in doubles.
+    """
+    exact = F.try_subtract(_product(n, squares), _product(total, total)).cast("double")
+    rough = n * squares.cast("double") - total.cast("double") * total.cast("double")
+    count = n.cast("double")
+    variance = F.coalesce(exact, rough) / (count * (count - 1))
     return F.when(
         n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(F.greatest(variance, F.lit(0.0))))
     )
+
+
+def _product(a, b):
+    return F.try_multiply(a.cast("decimal(38,0)"), b.cast("decimal(38,0)"))

@@ -64,7 +64,7 @@ def range_sums():
     return [
         F.coalesce(F.sum(F.when(metres.isNotNull(), towers)), F.lit(0)).alias("n"),
         F.sum(towers * metres).alias("total"),
-        F.sum(towers * metres.cast("double") * metres).alias("squares"),
+        F.sum(towers.cast("decimal(19,0)") * m.square("range")).alias("squares"),
         F.min("range").alias("low"),
         F.max("range").alias("high"),
     ]
@@ -108,6 +108,7 @@ def tower_samples(df, k=None, full_key=False):
 
     ``area_cell`` leaves out the network, so two networks may share an id; ``full_key`` puts
     mcc and mnc in front. Rows are grouped by the numbers; the text is built afterwards.
+    Towers without one of the numbers have no id and are left out.
     """
     key = tower_key(full_key)
     sums = df.dropna(subset=key).groupBy(*key).agg(F.sum("samples").alias("total_samples"))

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from rows import column, towers
 
 import mastgrid as mg
+from mastgrid.functions import derive
+from mastgrid.functions.durable import durable
 from mastgrid.functions.numeric import round_half_even, to_int_half_even, to_int_half_up
+from mastgrid.plans.summary import tower_summary
 
 
 def test_region_rounding(spark):
@@ -111,3 +114,55 @@ def test_colors(spark):
     assert column(mg.with_tech_color(df), "color") == ["red", "gray", "gray"]
     df = towers(spark, {"mnc": 120}, {"mnc": 1})
     assert column(mg.with_operator_color(df), "color") == ["orange", "gray"]
+
+
+def test_region_rule_is_recorded(spark):
+    even = mg.with_region(towers(spark, {"lat": 0.5}), "half_even")
+    assert column(mg.region_stats(even, mode="half_even"), "lat_r") == [0]
+    for table in (even, even.filter("lat_r = 0").select("*"), tower_summary(even, "half_even")):
+        with pytest.raises(ValueError, match="half_even"):
+            mg.region_stats(table)
+    kept = durable(tower_summary(towers(spark, {"lat": 0.5}), "half_even"))
+    assert column(mg.region_count(kept, mode="half_even"), "lat_r") == [0]
+    with pytest.raises(ValueError, match="half_even"):
+        mg.region_count(kept)
+
+
+def test_moments_keep_their_digits(spark):
+    rows = towers(spark, *[{"range": 10**9 + i} for i in range(3)])
+    far = towers(spark, *[{"range": 9 * 10**18 + i} for i in range(3)])
+    for table in (rows, tower_summary(rows)):
+        assert column(mg.tech_stats(table), "stddev_radius") == [1.0]
+        assert column(mg.range_stats(table), "stddev_radius") == [1.0]
+    assert column(mg.tech_describe(rows), "std") == [1.0]
+    assert mg.tech_radius_kde(rows).count() == 200
+    assert mg.tech_stats(tower_summary(far.limit(1))).first().stddev_radius is None
+
+
+def operator_names(spark):
+    return spark.createDataFrame(
+        [(310, 260, "b"), (310, 260, "a"), (310, 5, "c"), (1, 1, "unused")], "mcc int, mnc int, operator_name string")
+
+
+@pytest.mark.parametrize("sent", [100_000, 2])
+def test_operators_of_a_table(spark, sent, monkeypatch):
+    monkeypatch.setattr(derive, "BROADCAST_ROWS", sent)
+    codes = [260] * 50 + [5, 6, 7, None]
+    rows = towers(spark, *[{"mnc": mnc, "cell": i} for i, mnc in enumerate(codes)])
+    found = mg.with_operator(rows, operator_names(spark), "none")
+    wanted = ["a"] * 50 + ["c", "none", "none", "none"]
+    assert [name for _, name in sorted(column(found, "cell", "operator_name"))] == wanted
+    many = {(310, i): f"op{i}" for i in (5, 6, 260)}
+    found = mg.with_operator(rows, many, "none")
+    assert sorted(column(found, "operator_name")) == ["none"] * 2 + ["op260"] * 50 + ["op5", "op6"]
+
+
+def test_towers_are_not_exchanged_by_code(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        found = mg.with_operator(towers(spark, {}, {"mnc": 5}), operator_names(spark))
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(mcc" not in text and "BroadcastHashJoin" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -19,7 +19,7 @@ EAGER = {
 }
 EAGER |= {f"{name}_fit" for name in EAGER if name.startswith("suggest_sites_")}
 EAGER |= {f"layer_sites_{kind}_towers" for kind in ("all", "operator", "tech", "operator_tech")}
-EAGER.add("map_layers_shown")
+EAGER |= {"map_layers_shown", "with_operator_table", "operator_tech_count_table"}
 
 
 @pytest.fixture(scope="module")
