@@ -16,7 +16,9 @@ from mastgrid.llm.texts import PrefixHash, blocks, mixed, utf8
 SIZE, GRAM = 100, 40
 REACH = SIZE - GRAM
 GRAM_HASH, FIRST_HASH, SECOND_HASH = (PrefixHash(seed) for seed in (3, 5, 7))
-PIECE_BYTES, SORT_BYTES = 1_000_000, 2_000_000
+PIECE_BYTES = 1_000_000
+#: Windows that are sorted at a time.
+SORT_WINDOWS = 300_000
 #: Kinds of rows: bytes known to go, a run seen once in its shard, a hash with several runs in
 #: a shard, a run whose windows must be compared, a window.
 COVERED, RUN, SEVERAL, COMPARE, WINDOW = range(5)
@@ -162,83 +164,116 @@ def _compare_shards(batches):
         told = bool(tell[at] or not fresh[at] or kind[at] == SEVERAL)
 
 
+def _heads(data, starts):
+    """The eight bytes at each place as a number that sorts as they do."""
+    head = np.zeros(len(starts), np.uint64)
+    for k in range(8):
+        head = (head << np.uint64(8)) | data[starts + k]
+    return head
+
+
 def suffix_order(data, starts, first, sums):
     """Order of the suffixes at ``starts`` by their first SIZE bytes, and lengths in common.
 
-    A merge sort: each level merges neighbouring sorted runs by searching every suffix's
-    place in the other run. Suffixes that agree in their first 16 bytes are compared by the
-    longest common extension, found by halving on prefix hashes.
+    Suffixes are laid out by their first 16 bytes; those that agree in them are merge-sorted:
+    each level merges neighbouring sorted runs by searching every suffix's place in the other
+    run. Two suffixes are compared by their longest common extension, found by halving on
+    prefix hashes, and the byte after it.
     """
     def common(p, q):
-        length = np.zeros(len(p), np.int64)
+        length = np.full(len(p), 16)
         for step in (64, 32, 16, 8, 4, 2, 1):
             to = np.minimum(length + step, SIZE)
             same = first.of(sums, p, p + to) == first.of(sums, q, q + to)
             length = np.where(same, to, length)
         return length
 
-    head = data[starts[:, None] + np.arange(16)].copy().view(">u8").astype(np.uint64)
-    order = np.lexsort((head[:, 1], head[:, 0]))
-    changed = np.append(True, (head[order][1:] != head[order][:-1]).any(1))[:len(order)]
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(changed)
-
     def less(i, j):
-        out = rank[i] < rank[j]
-        tie = np.flatnonzero(rank[i] == rank[j])
-        p, q = starts[i[tie]], starts[j[tie]]
+        p, q = starts[i], starts[j]
         length = common(p, q)
         ends = np.minimum(length, SIZE - 1)
-        out[tie] = (length < SIZE) & (data[p + ends] < data[q + ends])
-        return out
-
-    total, width = len(order), 1
-    place = np.arange(total)
-    while width < total:
-        block = place // width
-        own, other = block * width, (block ^ 1) * width
-        low, high = np.minimum(other, total), np.minimum(other + width, total)
-        begin, left = low.copy(), block % 2 == 0
+        return (length < SIZE) & (data[p + ends] < data[q + ends])
+
+    total = len(starts)
+    head, second = _heads(data, starts), _heads(data, starts + 8)
+    order = np.lexsort((second, head))
+    new = np.append(True, (head[order][1:] != head[order][:-1]) | (
+        second[order][1:] != second[order][:-1]))[:total]
+    del head, second
+    # Only suffixes whose head others share are merged, each group of them for itself.
+    group_start = np.maximum.accumulate(np.where(new, np.arange(total), 0))
+    bounds = np.append(np.flatnonzero(new), total)
+    group_end = bounds[np.cumsum(new)]
+    place = np.flatnonzero(group_end - group_start > 1)
+    width = 1
+    while len(place):
+        begin, end = group_start[place], group_end[place]
+        block = (place - begin) // width
+        own, other = begin + block * width, begin + (block ^ 1) * width
+        low, high = np.minimum(other, end), np.minimum(other + width, end)
+        low_at, left = low.copy(), block % 2 == 0
         active = np.flatnonzero(low < high)
         while len(active):
             middle = (low[active] + high[active]) // 2
-            x, y = order[active], order[middle]
+            x, y = order[place[active]], order[middle]
             before = left[active]
-            goes = np.empty(len(active), bool)
-            goes[before] = less(y[before], x[before])
-            goes[~before] = ~less(x[~before], y[~before])
+            goes = less(np.where(before, y, x), np.where(before, x, y))
+            goes = np.where(before, goes, ~goes)
             low[active[goes]] = middle[goes] + 1
             high[active[~goes]] = middle[~goes]
             active = active[low[active] < high[active]]
-        merged = np.empty_like(order)
-        merged[np.minimum(own, other) + (place - own) + (low - begin)] = order
+        merged = order.copy()
+        merged[np.minimum(own, other) + (place - own) + (low - low_at)] = order[place]
         order, width = merged, width * 2
-    return order, common(starts[order[:-1]], starts[order[1:]])
+        place = place[end - begin > width]
+    shared = np.zeros(max(0, total - 1), np.int64)
+    near = np.flatnonzero(~new[1:])
+    shared[near] = common(starts[order[near]], starts[order[near + 1]])
+    return order, shared
+
+
+def _parts_of_runs(start, n, row):
+    """Runs a bounded number of windows at a time; a longer run in parts."""
+    parts = np.maximum(1, -(-n // SORT_WINDOWS))
+    which = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    start, n, row = (np.repeat(x, parts) for x in (start, n, row))
+    start, n = start + which * SORT_WINDOWS, np.minimum(n - which * SORT_WINDOWS, SORT_WINDOWS)
+    upto = np.cumsum(n)
+    a = 0
+    while a < len(n):
+        done = upto[a - 1] if a else 0
+        z = max(a + 1, int(np.searchsorted(upto, done + SORT_WINDOWS, "right")))
+        yield start[a:z], n[a:z], row[a:z]
+        a = z
 
 
 def _compare_windows(batches):
-    """Texts with the runs to compare: windows repeated here go, one row for each other."""
+    """Texts with the runs to compare: windows repeated here go, one row for each other.
+
+    Only the bytes of runs are laid out, so memory follows from SORT_WINDOWS and not from the
+    length of a text.
+    """
     for batch in batches:
         ids = batch.column(0).to_numpy()
         data, offsets = utf8(batch.column(1))
         wanted = batch.column(2)
         begins, values = wanted.offsets.to_numpy(), wanted.values
         run_start, run_n = (values.field(k).to_numpy() for k in (0, 1))
-        for a, z in blocks(offsets, SORT_BYTES):
-            mine = slice(begins[a], begins[z])
-            n = run_n[mine]
-            ends = np.cumsum(n)
-            row = np.repeat(np.arange(a, z), np.diff(begins[a:z + 1]))
-            inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n)
-            start = np.repeat(run_start[mine], n) + inside
-            row = np.repeat(row, n)
-            text, base = data[offsets[a]:offsets[z]], offsets[a]
-            # Rows that repeat an id may have another text; windows past its end are none.
-            fits = start + SIZE <= offsets[row + 1] - offsets[row]
-            row, start = row[fits], start[fits]
-            if not len(row):
-                continue
-            place = offsets[row] - base + start
+        run_row = np.repeat(np.arange(len(ids)), np.diff(begins))
+        # Rows that repeat an id may have another text; windows past its end are none.
+        size = offsets[run_row + 1] - offsets[run_row]
+        run_n = np.minimum(run_n, size - SIZE + 1 - run_start)
+        real = run_n > 0
+        for start, n, row in _parts_of_runs(run_start[real], run_n[real], run_row[real]):
+            ends = np.cumsum(n + SIZE - 1)
+            lengths = n + SIZE - 1
+            at = np.repeat(offsets[row] + start - (ends - lengths), lengths) + np.arange(ends[-1])
+            text = data[at]
+            windows = np.cumsum(n)
+            inside = np.arange(windows[-1]) - np.repeat(windows - n, n)
+            place = np.repeat(ends - lengths, n) + inside
+            start, doc = np.repeat(start, n) + inside, np.repeat(ids[row], n)
+            del at, inside
             sums = FIRST_HASH.prefixes(text)
             order, shared = suffix_order(text, place, FIRST_HASH, sums)
             same = shared == SIZE
@@ -249,7 +284,6 @@ def _compare_windows(batches):
                 same[i] = (text[p[:, None] + span] == text[q[:, None] + span]).all(1)
             group = np.empty(len(order), np.int64)
             group[order] = np.cumsum(np.append(True, ~same))
-            doc = ids[row]
             order = np.lexsort((start, doc, group))
             group, doc, start, place = (x[order] for x in (group, doc, start, place))
             new = np.append(True, group[1:] != group[:-1])

@@ -160,18 +160,83 @@ def test_feistel_is_a_permutation(n):
     assert sorted(token_shards.feistel(range(n), n)) == list(range(n))
 
 
-def test_substrings_by_brute_force(spark):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    found = {r.doc_id: r for r in suffix_dedup.dedup_substrings(docs).collect()}
-    seen = set()
-    for row in docs.orderBy("doc_id").collect():
-        raw = row.text.encode()
+def plain_substrings(rows):
+    """Kept bytes by id, texts in order of their ids."""
+    seen, kept = set(), {}
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        raw = (text or "").encode()
         gone = bytearray(len(raw))
         for s in range(len(raw) - 99):
             if raw[s:s + 100] in seen:
                 gone[s:s + 100] = b"\1" * 100
             seen.add(raw[s:s + 100])
-        assert bytes(found[row.doc_id].kept) == bytes(x for x, g in zip(raw, gone) if not g)
+        kept[doc_id] = bytes(x for x, g in zip(raw, gone) if not g)
+    return kept
+
+
+def test_substrings_by_brute_force(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    found = {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup_substrings(docs.repartition(7)).collect()}
+    assert found == plain_substrings([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_substrings_across_tasks(spark, monkeypatch):
+    """Periodic texts, cut copies, copies inside one text, in tiny batches over many tasks."""
+    import random
+
+    draw = random.Random(9)
+    base = ["".join(draw.choice("abcdé ") for _ in range(700)) for _ in range(4)]
+    texts = [None, "", "a" * 99, "a" * 100, "a" * 1500, "ab" * 400, "ba" * 400, base[0] + base[0]]
+    for _ in range(60):
+        x, y = draw.sample(base, 2)
+        i, j = sorted(draw.sample(range(700), 2))
+        texts.append(x[i:j] + "".join(draw.choice("xyz") for _ in range(draw.randint(0, 30))) + y[j - i:])
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(13)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+        found = {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup_substrings(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert found == plain_substrings(rows)
+
+
+def test_long_texts_are_sorted_in_parts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    draw = np.random.default_rng(2)
+    text = "".join(map(chr, draw.integers(97, 101, 30_000))) * 2
+    runs = pa.array([[{"start": 0, "n": 59_000}, {"start": 59_000, "n": 5000}]],
+                    pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([text]), runs], ["doc_id", "text", "runs"])
+    whole = {}
+    for part in (100_000, 7_001):
+        monkeypatch.setattr(suffix_dedup, "SORT_WINDOWS", part)
+        rows = pa.Table.from_batches(list(suffix_dedup._compare_windows([batch])))
+        whole[part] = rows
+        starts = rows.column("start").to_pylist()
+        assert sorted(starts) == list(range(60_000 - 99))
+    kinds = whole[100_000].column("kind").to_numpy()
+    gone = whole[100_000].column("start").to_numpy()[kinds == suffix_dedup.COVERED]
+    assert sorted(gone) == list(range(30_000, 60_000 - 99))
+
+
+def test_suffix_order_is_the_order_of_bytes():
+    import numpy as np
+
+    for seed, letters in ((1, "ab"), (2, "abcdefgh"), (3, "a")):
+        draw = np.random.default_rng(seed)
+        text = "".join(draw.choice(list(letters), 400)) + "abab" * 60 + "".join(draw.choice(list(letters), 300))
+        text = (text * 2).encode()
+        data = np.frombuffer(text, np.uint8)
+        starts = draw.permutation(len(data) - 99)
+        sums = suffix_dedup.FIRST_HASH.prefixes(data)
+        order, shared = suffix_dedup.suffix_order(data, starts, suffix_dedup.FIRST_HASH, sums)
+        said = [text[s:s + 100] for s in starts[order]]
+        assert said == sorted(said)
+        assert [(x == y) for x, y in zip(said, said[1:])] == (shared == 100).tolist()
 
 
 def test_pipeline(spark):
