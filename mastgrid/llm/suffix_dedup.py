@@ -173,26 +173,29 @@ def _heads(data, starts):
 
 
 def suffix_order(data, starts, first, sums):
-    """Order of the suffixes at ``starts`` by their first SIZE bytes, and lengths in common.
+    """Order of the suffixes at ``starts`` by their first SIZE bytes; which are as the one before.
 
     Suffixes are laid out by their first 16 bytes; those that agree in them are merge-sorted:
     each level merges neighbouring sorted runs by searching every suffix's place in the other
-    run. Two suffixes are compared by their longest common extension, found by halving on
-    prefix hashes, and the byte after it.
+    run. Two suffixes are compared by their prefix hashes: over SIZE bytes, and where those
+    differ by the longest common extension, found by halving, and the byte after it.
     """
-    def common(p, q):
-        length = np.full(len(p), 16)
-        for step in (64, 32, 16, 8, 4, 2, 1):
-            to = np.minimum(length + step, SIZE)
-            same = first.of(sums, p, p + to) == first.of(sums, q, q + to)
-            length = np.where(same, to, length)
-        return length
+    def part(start, end):
+        return (sums[end] - sums[start]) * first.back[start]
+
+    whole = part(starts, starts + SIZE)
 
     def less(i, j):
-        p, q = starts[i], starts[j]
-        length = common(p, q)
+        out = whole[i] != whole[j]
+        at = np.flatnonzero(out)
+        p, q = starts[i[at]], starts[j[at]]
+        length = np.full(len(at), 16)
+        for step in (64, 32, 16, 8, 4, 2, 1):
+            to = np.minimum(length + step, SIZE)
+            length = np.where(part(p, p + to) == part(q, q + to), to, length)
         ends = np.minimum(length, SIZE - 1)
-        return (length < SIZE) & (data[p + ends] < data[q + ends])
+        out[at] = (length < SIZE) & (data[p + ends] < data[q + ends])
+        return out
 
     total = len(starts)
     head, second = _heads(data, starts), _heads(data, starts + 8)
@@ -226,10 +229,7 @@ def suffix_order(data, starts, first, sums):
         merged[np.minimum(own, other) + (place - own) + (low - low_at)] = order[place]
         order, width = merged, width * 2
         place = place[end - begin > width]
-    shared = np.zeros(max(0, total - 1), np.int64)
-    near = np.flatnonzero(~new[1:])
-    shared[near] = common(starts[order[near]], starts[order[near + 1]])
-    return order, shared
+    return order, ~new[1:] & (whole[order[1:]] == whole[order[:-1]])
 
 
 def _parts_of_runs(start, n, row):
@@ -275,8 +275,7 @@ def _compare_windows(batches):
             start, doc = np.repeat(start, n) + inside, np.repeat(ids[row], n)
             del at, inside
             sums = FIRST_HASH.prefixes(text)
-            order, shared = suffix_order(text, place, FIRST_HASH, sums)
-            same = shared == SIZE
+            order, same = suffix_order(text, place, FIRST_HASH, sums)
             for i in np.array_split(np.flatnonzero(same), max(1, int(same.sum()) // 20_000)):
                 p, q = place[order[i]], place[order[i + 1]]
                 span = np.arange(SIZE)

@@ -10,7 +10,6 @@ units there, each aligned on its own, and the alignment of short units is rememb
 import functools
 import re
 from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -76,10 +75,12 @@ class Aligner:
         PieceCounts(path_b)  # raises unless texts can be cut at spaces
         if path_a.endswith(".tiktoken"):
             known = encoding(path_a)
-            self.encode_a = known.encode_ordinary
+            self.encode_a = functools.partial(known.encode_to_numpy, disallowed_special=())
             self.bytes_a = {i: known.decode_single_token_bytes(i) for i in range(known.n_vocab)}
         else:
             self.encode_a, self.bytes_a = _byte_level(path_a)
+        if {bytes([i]) for i in range(256)} - set(self.bytes_a.values()):
+            raise ValueError("A must have a token for each byte")
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
@@ -106,13 +107,14 @@ class Aligner:
         return self.n_units >= REMEMBERED or len(self.pair) >= REMEMBERED_LINKS
 
     def _tokens(self, text):
-        """Flat ids of A and B for a text without its first space; None if they don't spell it."""
-        ids_a = self.encode_a(" " + text)
-        ids_b, raw = self.b.encode(text), (" " + text).encode()
-        if (b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw
-                and b"".join(map(self.bytes_b.__getitem__, ids_b)) == raw):
-            return np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        return None
+        """Flat ids of A and B for a text without its first space; None if they don't spell it.
+
+        A has a token for each byte and merges them without loss, so only B can fail to.
+        """
+        ids_b = self.b.encode(text)
+        if b"".join(map(self.bytes_b.__getitem__, ids_b)) != (" " + text).encode():
+            return None
+        return np.asarray(self.encode_a(" " + text)).astype(np.int64), np.array(ids_b, np.int64)
 
     def learn(self, pieces, alone=frozenset()):
         """Align new units, given without their space: a number for each, -1 if unsound.
@@ -191,13 +193,14 @@ class Aligner:
             odd = set(filter(_is_odd, new))
         if new:
             self.known.update(self.learn(list(new), odd))
-        numbers = [list(map(self.known.__getitem__, x)) for x in pieces]
+        numbers = [np.fromiter(map(self.known.__getitem__, x), np.int64, len(x)) for x in pieces]
         for piece in new:
             if len(piece) > REMEMBERED_CHARS or piece in odd:
                 del self.known[piece]
         for i, found in enumerate(numbers):
-            if -1 in found:  # the text as a whole decides
-                numbers[i] = [n for n in self.learn([texts[i]], {texts[i]}).values() if n >= 0]
+            if len(found) and found.min() < 0:  # the text as a whole decides
+                whole = self.learn([texts[i]], {texts[i]}).values()
+                numbers[i] = np.array([n for n in whole if n >= 0], np.int64)
         return numbers
 
     def links(self, done=0):
@@ -252,7 +255,7 @@ def _count_pairs(paths):
             return pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(n[at])], ["pair", "n"])
 
         for _, numbers in _chunks(batches, aligner):
-            flat = np.fromiter(chain.from_iterable(numbers), np.int64)
+            flat = np.concatenate(numbers)
             more = np.bincount(flat, minlength=aligner.n_units)
             more[:len(used)] += used
             used = more
@@ -285,14 +288,14 @@ def _add_counts(paths, sent, first):
                         np.cumsum(np.stack([known & best[at], known * counts[at]], 1), axis=0, out=sums[1:])
                     by_unit = np.concatenate([by_unit, np.diff(sums[begins], axis=0)])
                 sizes = np.array([len(x) for x in numbers])
-                flat = np.fromiter(chain.from_iterable(numbers), np.int64)
+                flat = np.concatenate(numbers)
                 part = batch.slice(done, len(numbers))
                 done += len(numbers)
                 added = _by_row(by_unit, flat, sizes)
                 if first:
                     told = [pa.array(c) for c in _by_row(
                         np.array(aligner.counts, np.int64).reshape(-1, 4), flat, sizes).T]
-                    said = pa.array(["".join(map(aligner.said.__getitem__, x))[:-1] if x else None
+                    said = pa.array(["".join(map(aligner.said.__getitem__, x.tolist()))[:-1] if len(x) else None
                                      for x in numbers], pa.string())
                 else:
                     told = [part.column(name) for name in COUNTS]
