@@ -13,6 +13,8 @@ LENGTH, PER_SHARD, KEY, ROUNDS = 512, 16_384, 2024, 4
 #: The free identifier after the vocabulary fills the last record of a text.
 PAD = 50_256
 TASKS_SENT = 1_000_000
+#: Shards that one task lays out, one after another: some 256 MB.
+SHARDS_TOGETHER = 16
 
 
 def default_ranks():
@@ -89,12 +91,23 @@ def feistel(index, n, key=KEY):
     return x.astype(np.int64)
 
 
+def stride(length=LENGTH):
+    """Bytes from one record of a shard file to the next."""
+    return 2 * length + 1
+
+
 def training_order(docs, length=LENGTH, per_shard=PER_SHARD, key=KEY, ranks=None):
     """Every sequence with its global slot, shard, byte offset in the shard and record.
 
     Slots are a keyed permutation of the sequence numbers, so they are even and dense: shard
-    ``k`` holds slots ``k * per_shard`` on, each record is ``2 * length`` bytes, and a reader
-    resumes at any slot by its offset. One partition per shard, in order.
+    ``k`` holds slots ``k * per_shard`` on. In the files of ``write_shards`` each record of
+    ``2 * length`` bytes is followed by a line end; ``byte_offset`` is its place there, so a
+    reader resumes at any slot. A partition holds SHARDS_TOGETHER shards, in order.
+
+    Sequences are numbered as they were written, by task and place in it: the order is that of
+    one written table, however often it is read, but another split of the input gives another.
+    NULL and empty texts have no sequence, rows that repeat have their own, and only ``doc_id``
+    and ``text`` are read, so other columns can't clash; an empty table gives no rows.
     """
     table = sequences(docs, length, ranks)
     spark = table.sparkSession
@@ -117,19 +130,20 @@ def training_order(docs, length=LENGTH, per_shard=PER_SHARD, key=KEY, ranks=None
     record = F.when(F.col("n_tokens") == length, F.col("tokens")).otherwise(
         F.substring(F.concat("tokens", fill), 1, 2 * length))
     rows = numbered.select(
-        "slot", shard.alias("shard"), (F.expr(f"slot % {per_shard}") * 2 * length).alias("byte_offset"),
+        "slot", shard.alias("shard"), (F.expr(f"slot % {per_shard}") * stride(length)).alias("byte_offset"),
         "doc_id", "seq_no", "n_tokens", "tokens")
-    shards = max(1, -(-n // per_shard))
-    rows = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
+    tasks = max(1, -(-n // (per_shard * SHARDS_TOGETHER)))
+    together = F.expr(f"CAST(shard div {SHARDS_TOGETHER} AS INT)")
+    rows = rows.repartitionById(tasks, together).sortWithinPartitions("shard", "slot")
     return rows.withColumn("record", record).drop("tokens")
 
 
 def write_shards(rows, path):
     """Write the records of ``training_order`` as one binary file per shard, in slot order.
 
-    The text writer puts the bytes down as they are, each record closed by one byte, so the
-    stride is ``2 * length + 1``. It writes to any store Spark reaches, and a lost task's
-    output is written again by another.
+    The text writer puts the bytes down as they are, each record closed by one byte, so a record
+    is at its ``byte_offset``. It writes to any store Spark reaches, and a lost task's output
+    is written again by another.
     """
     rows.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy(
         "shard").text(path)

@@ -142,8 +142,8 @@ def test_training_order_round_trip(spark, tmp_path, edge_docs):
         raw = open(f"{path}/shard={shard}/{files[0]}", "rb").read()
         for r in found:
             if r.shard == shard:
-                at = r.slot % per_shard * (2 * length + 1)
-                assert raw[at:at + 2 * length] == bytes(r.record)
+                assert raw[r.byte_offset:r.byte_offset + 2 * length] == bytes(r.record)
+                assert r.byte_offset == r.slot % per_shard * token_shards.stride(length)
     encoding, parts = token_shards.encoding(), {}
     for r in found:
         parts.setdefault(r.doc_id, {})[r.seq_no] = bytes(r.record)[:2 * r.n_tokens]
