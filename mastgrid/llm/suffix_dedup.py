@@ -102,7 +102,7 @@ def _find_runs(batches):
         h, content, doc, start, n, tied = (x[order] for x in (h, content, doc, start, n, tied))
         new_hash = np.append(True, h[1:] != h[:-1])[:len(h)]
         new = new_hash | np.append(True, content[1:] != content[:-1])[:len(h)]
-        yield from _covered_later(new, doc, start, n)
+        yield from _covered_later(new, doc, start, n, merge=True)
         h, content, doc, start, n, tied = (x[new] for x in (h, content, doc, start, n, tied))
         group = np.cumsum(new_hash[new]) - 1
         several = (np.bincount(group) > 1) | (np.bincount(group, tied) > 0) if len(h) else group
@@ -115,13 +115,22 @@ def _find_runs(batches):
         yield _table(RUN, h[one], content[one], doc[one], start[one], n[one])
 
 
-def _covered_later(new, doc, start, n):
-    """Rows that are not the first of their kind lose their bytes, unless they are the same."""
+def _covered_later(new, doc, start, n, merge=False):
+    """Rows that are not the first of their kind lose their bytes, unless they are the same.
+
+    With ``merge``, windows that follow each other in a text become one row.
+    """
     if not len(new):
         return
     first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
     later = ~new & ((doc != doc[first]) | (start != start[first]))
-    yield _table(COVERED, doc[later], 0, doc[later], start[later], n[later])
+    doc, start, n = doc[later], start[later], n[later]
+    if merge and len(doc):
+        order = np.lexsort((start, doc))
+        doc, start, end = doc[order], start[order], (start + n)[order]
+        at = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])))
+        doc, start, n = doc[at], start[at], np.maximum.reduceat(end, at) - start[at]
+    yield _table(COVERED, doc, 0, doc, start, n)
 
 
 def _columns(batch):
@@ -286,7 +295,7 @@ def _compare_windows(batches):
             order = np.lexsort((start, doc, group))
             group, doc, start, place = (x[order] for x in (group, doc, start, place))
             new = np.append(True, group[1:] != group[:-1])
-            yield from _covered_later(new, doc, start, np.ones(len(doc), int))
+            yield from _covered_later(new, doc, start, np.ones(len(doc), int), merge=True)
             at = place[new]
             h1 = FIRST_HASH.of(sums, at, at + SIZE)
             h2 = SECOND_HASH.of(SECOND_HASH.prefixes(text), at, at + SIZE)
