@@ -1,5 +1,6 @@
 """Registered queries against DuckDB, and edge cases of every operator."""
 import os
+import re
 import sys
 
 import duckdb
@@ -238,6 +239,60 @@ def test_suffix_order_is_the_order_of_bytes():
         assert [(x == y) for x, y in zip(said, said[1:])] == same.tolist()
 
 
+def plain_classes(rows):
+    """Class of every id by comparing all pairs of texts."""
+    from collections import Counter
+
+    def bag(text):
+        found = re.findall("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", (text or "").translate(
+            {c: c + 32 for c in range(65, 91)}))
+        size = min(5, len(found))
+        return Counter(tuple(found[i:i + size]) for i in range(len(found) - size + 1)) if size else (text or "")
+
+    bags = {i: bag(t) for i, t in rows}
+    label = {i: i for i in bags}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in bags:
+        for j in bags:
+            if i < j:
+                a, b = bags[i], bags[j]
+                if isinstance(a, Counter) and isinstance(b, Counter):
+                    common = (a & b).total()
+                    alike = common >= 0.8 * (a.total() + b.total() - common) - 1e-9
+                else:
+                    alike = a == b
+                if alike:
+                    x, y = sorted((root(i), root(j)))
+                    label[y] = x
+    return {i: root(i) for i in bags}
+
+
+def test_near_duplicates_by_brute_force(spark):
+    """Planted pairs from barely to very similar, in several partitions: no link is lost."""
+    import random
+
+    draw = random.Random(4)
+    texts = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").select("text").limit(60).collect()]
+    for share in (0.5, 1, 1.5, 2, 2.5, 3, 4, 6):
+        for _ in range(6):
+            base = [f"w{draw.randint(0, 400)}" for _ in range(draw.randint(60, 160))]
+            other = list(base)
+            for _ in range(max(1, int(len(base) * share / 100))):
+                other[draw.randrange(len(other))] = "new"
+            texts += [" ".join(base), " ".join(other)]
+    rows = list(enumerate(texts)) + [(5000, None), (5001, ""), (5002, "!!"), (5003, "!!")]
+    wanted = plain_classes(rows)
+    assert len(set(wanted.values())) < len(rows) - 20
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    found = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()}
+    assert found == wanted
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     names = docs.columns
