@@ -37,7 +37,8 @@ STAGES = [
     ("training order", training_order),
 ]
 
-#: Near-duplicate classes are no SQL; tests hold the rows against a brute-force version.
+#: Near-duplicate classes are no SQL; tests hold them against a brute-force version, and what
+#: the other stages keep against their operators.
 ORACLE_SQL = None
 
 
