@@ -25,19 +25,20 @@ def shared_path(spark):
     return posixpath.join(shared_folder(spark), f"mastgrid-{uuid.uuid4().hex}")
 
 
-def durable(df, partition_by=()):
+def durable(df, partition_by=(), compression=None):
     """Write ``df`` as a Parquet table in the shared folder and return that table.
 
     What follows reads the columns and partitions it needs of a short plan, and a lost
     executor costs a re-read and not the work done so far. The files stay in the folder
-    until ``discard`` or its owner clears them, as those of a checkpoint do.
+    until ``discard`` or its owner clears them, as those of a checkpoint do. ``compression``
+    names a Parquet codec other than the session's.
     """
     path = shared_path(df.sparkSession)
     writer = df.write
     if partition_by:
         # Adaptive execution splits large partitions over tasks and joins small ones.
         writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
