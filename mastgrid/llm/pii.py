@@ -1,8 +1,23 @@
-"""Personal data: patterns propose spans, checksums confirm them, context moves the score."""
+"""Personal data: patterns propose spans, checksums confirm them, context moves the score.
+
+Base kinds stand by themselves. A further kind stays if its score reaches a threshold: a checksum
+or a telling key gets it there alone, a mere shape of digits only with a word that names it nearby.
+"""
 from pyspark.sql import functions as F
 
 from mastgrid.llm.exprs import bind, with_struct
 
+# Characters of an account number by country (ISO 13616).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|XK",
+    21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|TL",
+    24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR",
+    27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+IBAN = "|".join(f"(?:{lands})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{size - 4}}}"
+                for size, lands in IBAN_LENGTHS.items())
+
 # What each kind matches. Possessive repeats and a start at the end of the last
 # match or outside a run give the same matches in one pass over a long run of letters or digits.
 MAIL = "[A-Za-z0-9._%+-]"
@@ -11,20 +26,29 @@ PATTERNS = {
     "ip": "(?:\\G|(?<![0-9]))[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++",
     "card": "[0-9](?:[\\x20-]?+[0-9])++",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
-    "iban": "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": f"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])",
+    "ssn": "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "local": "(?<![0-9+(.-])(?<!\\+[0-9]{1,3}[\\x20.-])(?:\\([0-9]{3}\\)\\x20?|[0-9]{3}[\\x20.-])"
+             "[0-9]{3}[\\x20.-][0-9]{4}(?![0-9-])",
+    "secret": "(?i:password|passwd|secret|token|api_?key)[\"']?+\\x20*+[:=]\\x20*+[\"']?+"
+              "[A-Za-z0-9+/_.=-]{8,}+",
 }
 BASE = ("email", "ip", "card", "phone")
 #: A text without this can't hold the kind; a cheap test before the pattern.
-NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-#: kind -> score of a confirmed span, and words nearby that raise it by CONTEXT_GAIN.
+NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
+#: kind -> score of a confirmed span, and starts of words nearby that raise it by CONTEXT_GAIN.
+CALLS = "phone|tel|call|fax|mobile|telefon|llam"
 SCORES = {
     "email": (0.9, "mail|contact|write|address"),
     "ip": (0.6, "ip|host|server|address|login"),
     "card": (0.8, "card|visa|credit|payment|kredit|tarjeta|carte"),
-    "phone": (0.6, "phone|tel|call|fax|mobile|telefon|llam"),
+    "phone": (0.6, CALLS),
     "iban": (0.8, "iban|account|bank|konto|cuenta|compte"),
+    "ssn": (0.5, "ssn|social|security|taxpayer"),
+    "local": (0.5, CALLS),
+    "secret": (0.8, "login|user|key|account"),
 }
-CONTEXT_GAIN, CONTEXT_CHARS = 0.2, 40
+CONTEXT_GAIN, CONTEXT_CHARS, MIN_SCORE = 0.3, 40, 0.8
 CHUNK = 256
 #: Fixed value: a number of at most 255, leading zeros allowed.
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -67,6 +91,11 @@ def _confirmed(kind, found):
         return F.length(_digits(found)).between(8, 15)
     if kind == "iban":
         return _mod97(found)
+    if kind == "ssn":
+        return ~F.rlike(found, F.lit("^(?:000|666|9)|-00-|0000$"))
+    if kind == "secret":
+        value = F.regexp_extract(found, "[A-Za-z0-9+/_.=-]+$", 0)
+        return F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))
     return F.lit(True)
 
 
@@ -88,7 +117,7 @@ def _spans(kind, text):
             near = F.lower(F.concat_ws(
                 " ", F.substring(F.get(gaps, k), -CONTEXT_CHARS, CONTEXT_CHARS),
                 F.substring(F.get(gaps, k + 1), 1, CONTEXT_CHARS)))
-            scored = F.when(F.rlike(near, F.lit(words)), score + CONTEXT_GAIN).otherwise(score)
+            scored = F.when(F.rlike(near, F.lit(f"\\b(?:{words})")), score + CONTEXT_GAIN).otherwise(score)
             span = F.struct(
                 F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
                 match.alias("found"), F.least(F.lit(1.0), scored).alias("score"))
@@ -117,12 +146,16 @@ def _spans(kind, text):
         F.split(text, pattern, -1), lambda gaps: place(m, gaps))).otherwise(none))
 
 
-def find_pii(docs, text="text", keep=("doc_id",), kinds=tuple(PATTERNS), min_score=0.8):
+def find_pii(docs, text="text", keep=("doc_id",), kinds=tuple(PATTERNS), min_score=MIN_SCORE):
     """Per document the ``keep`` columns and ``spans``, ordered by kind as listed, then start.
 
     Matches of one kind are leftmost and don't overlap; those that fail their check are
     dropped. Spans of the base kinds always stay; other kinds stay from ``min_score`` on.
-    A NULL or empty text has no spans. Repeated rows are read each on its own.
+    A word of the kind's context within CONTEXT_CHARS before or after a span, up to the next match
+    of that kind, raises its score. A NULL or empty text has no spans, long texts are read
+    whole, repeated rows each on their own, and an empty table gives no rows. Columns other
+    than ``text`` and ``keep`` are not read, so their names can't clash; ``keep`` can't name
+    ``spans``.
     """
     rows = docs.select(*[F.col(f"`{c}`") for c in keep],
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
@@ -138,6 +171,11 @@ def joined(spans):
         spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
+def scores(spans):
+    """Scores of spans to one place, comma-joined."""
+    return F.array_join(F.transform(spans, lambda x: F.format_string("%.1f", x["score"])), ",")
+
+
 def base_spans(spans):
     return F.filter(spans, lambda x: x["kind"].isin(*BASE))
 

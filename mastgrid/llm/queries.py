@@ -20,7 +20,8 @@ def op1_pii(spark, sf_dir):
         *[pii.count_kind(spans, kind).alias(f"n_{kind}") for kind in pii.BASE],
         F.sha2(pii.joined(pii.base_spans(spans)), 256).alias("base_sha256"),
         pii.joined(spans).alias("spans"),
-        pii.count_kind(spans, "iban").alias("n_iban"),
+        *[pii.count_kind(spans, kind).alias(f"n_{kind}") for kind in pii.PATTERNS if kind not in pii.BASE],
+        pii.scores(spans).alias("scores"),
     )
 
 

@@ -39,9 +39,10 @@ def encoding(path=None):
 def sequences(docs, length=LENGTH, ranks=None):
     """A written table ``part, place, doc_id, seq_no, n_tokens, tokens`` of cut token streams.
 
-    ``tokens`` holds 16-bit little-endian identifiers, ``length`` at most. ``part`` and
-    ``place`` number the sequences as they were written, so the numbering is fixed however
-    often the table is read. NULL and empty texts give none; repeated rows give their own.
+    ``tokens`` holds 16-bit little-endian identifiers, ``length`` at most. Tasks take ranges of
+    ``doc_id`` in order, so ``part`` and ``place`` number the sequences by ``doc_id``, text hash
+    and ``seq_no`` however the input is split, and an id that holds many rows is split as well.
+    NULL and empty texts give none; repeated rows give their own.
     """
     def cut(batches):
         from pyspark import TaskContext
@@ -66,8 +67,14 @@ def sequences(docs, length=LENGTH, ranks=None):
                             pa.binary()))],
                         ["part", "place", "doc_id", "seq_no", "n_tokens", "tokens"])
 
-    return durable(docs.select("doc_id", "text").mapInArrow(
-        cut, "part bigint, place bigint, doc_id bigint, seq_no bigint, n_tokens bigint, tokens binary"))
+    order = ["doc_id", "text_hash", "row"]
+    rows = docs.select(
+        "doc_id", "text", F.xxhash64("text").alias("text_hash"),
+        F.monotonically_increasing_id().alias("row"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return durable(rows.select("doc_id", "text").mapInArrow(
+        cut, "part bigint, place bigint, doc_id bigint, seq_no bigint, n_tokens bigint, tokens binary"),
+        compression="zstd")
 
 
 def feistel(index, n, key=KEY):
@@ -104,8 +111,9 @@ def training_order(docs, length=LENGTH, per_shard=PER_SHARD, key=KEY, ranks=None
     ``2 * length`` bytes is followed by a line end; ``byte_offset`` is its place there, so a
     reader resumes at any slot. A partition holds SHARDS_TOGETHER shards, in order.
 
-    Sequences are numbered as they were written, by task and place in it: the order is that of
-    one written table, however often it is read, but another split of the input gives another.
+    Sequences are numbered by ``doc_id``, the hash of the text and ``seq_no``, so the same
+    documents have the same slots however they are split, and a reader resumes across a rebuild.
+    Rows alike in id and text are interchangeable.
     NULL and empty texts have no sequence, rows that repeat have their own, and only ``doc_id``
     and ``text`` are read, so other columns can't clash; an empty table gives no rows.
     """

@@ -156,6 +156,37 @@ def test_training_order_round_trip(spark, tmp_path, edge_docs):
     assert token_shards.training_order(edge_docs).count() > 100
 
 
+def plain_feistel(x, n, key=token_shards.KEY):
+    """The permutation on one Python integer, turn by turn."""
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    word = 2**64
+    while True:
+        left, right = x >> half, x % 2**half
+        for turn in range(token_shards.ROUNDS):
+            h = (right * 0x9E3779B97F4A7C15 + key * 1_000_003 + turn) % word
+            h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 % word
+            left, right = right, left ^ (h ^ h >> 29) % 2**half
+        x = left << half | right
+        if x < n:
+            return x
+
+
+def test_slots_do_not_depend_on_the_layout(spark):
+    """Slots are the permuted rank by id, text hash and place, under three layouts."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(300)
+    twice = docs.unionByName(docs.filter("doc_id % 7 = 0"))
+    layouts = [twice.coalesce(1), twice.repartition(5), twice.orderBy("n_chars").repartition(11, "lang")]
+    found = [sorted(tuple(r) for r in token_shards.training_order(d, 16, 64).select(
+        "slot", "doc_id", "seq_no", "n_tokens", "record").collect()) for d in layouts]
+    assert found[0] == found[1] == found[2]
+    hashed = twice.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    encode, number = token_shards.encoding().encode_ordinary, []
+    for r in sorted(hashed, key=lambda r: (r.doc_id, r.h)):
+        number += [(r.doc_id, k) for k in range(-(-len(encode(r.text)) // 16))]
+    slots = sorted((plain_feistel(x, len(number)), *pair) for x, pair in enumerate(number))
+    assert [r[:3] for r in found[0]] == slots
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 65_537])
 def test_feistel_is_a_permutation(n):
     assert sorted(token_shards.feistel(range(n), n)) == list(range(n))
