@@ -13,8 +13,8 @@ LENGTH, PER_SHARD, KEY, ROUNDS = 512, 16_384, 2024, 4
 #: The free identifier after the vocabulary fills the last record of a text.
 PAD = 50_256
 TASKS_SENT = 1_000_000
-#: Shards that one task lays out, one after another: some 256 MB.
-SHARDS_TOGETHER = 16
+#: Shards that one task lays out, one after another: some 64 MB to sort.
+SHARDS_TOGETHER = 4
 
 
 def default_ranks():
