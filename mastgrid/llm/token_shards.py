@@ -2,7 +2,6 @@
 import functools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -127,9 +126,9 @@ def training_order(docs, length=LENGTH, per_shard=PER_SHARD, key=KEY, ranks=None
     if tasks > TASKS_SENT:
         raise ValueError(f"more than {TASKS_SENT} writing tasks; use larger input splits")
 
-    @F.pandas_udf("bigint")
-    def slot_of(number: pd.Series) -> pd.Series:
-        return pd.Series(feistel(number.to_numpy(), n, key))
+    @F.arrow_udf("bigint")
+    def slot_of(number: pa.Array) -> pa.Array:
+        return pa.array(feistel(number.to_numpy(zero_copy_only=False), n, key))
 
     numbered = table.join(F.broadcast(starts), "part").withColumn(
         "slot", slot_of(F.col("base") + F.col("place")))
