@@ -20,7 +20,8 @@ from mastgrid.llm.texts import blocks, mixed, utf8, words
 SHINGLE, SIMILARITY = 5, 0.8
 #: 30 bands of 5: a pair at 0.8 shares no band with probability 7e-6.
 BANDS, BAND_ROWS = 30, 5
-BLOCK_ROWS = 2_048
+#: Texts are worked on so many bytes and rows at a time, or one longer text.
+BLOCK_BYTES, BLOCK_ROWS = 1_000_000, 2_048
 #: Rounds in which unconnected members of a bucket are compared with one of them.
 STAR_ROUNDS = 2
 SCHEMA = "doc_id bigint, k1 bigint, k2 bigint, n_shingles bigint, bands array<bigint>"
@@ -123,7 +124,7 @@ def _sign(batches):
     for batch in batches:
         ids = batch.column(0)
         data, offsets = utf8(batch.column(1))
-        for a, z in blocks(offsets):
+        for a, z in blocks(offsets, BLOCK_BYTES):
             for i in range(a, z, BLOCK_ROWS):
                 j = min(z, i + BLOCK_ROWS)
                 _, _, hashes, first = words(data, offsets[i:j + 1])
@@ -150,23 +151,25 @@ def _sign(batches):
 def _overlaps(batches):
     """Pairs whose multisets' common count is at least SIMILARITY of their joint count."""
     for batch in batches:
-        sides = []
-        for column in (2, 3):
-            data, offsets = utf8(batch.column(column))
-            _, _, hashes, first = words(data, offsets)
-            shingle, rows, count = multisets(*shingles(hashes, first))
-            sides.append((shingle, count, np.searchsorted(rows, np.arange(len(batch) + 1))))
-        (s, c, at), (s2, c2, at2) = sides
-        keep = []
-        for i in range(len(batch)):
-            x, y = slice(at[i], at[i + 1]), slice(at2[i], at2[i + 1])
-            _, p, q = np.intersect1d(s[x], s2[y], assume_unique=True, return_indices=True)
-            common = int(np.minimum(c[x][p], c2[y][q]).sum())
-            joint = int(c[x].sum() + c2[y].sum()) - common
-            keep.append(joint > 0 and common >= SIMILARITY * joint - 1e-9)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))],
-            ["u", "v"])
+        texts = [utf8(batch.column(column)) for column in (2, 3)]
+        # A batch may hold one long text once per partner, so bytes bound what is compared.
+        for a, z in blocks(sum(offsets - offsets[0] for _, offsets in texts), BLOCK_BYTES):
+            sides = []
+            for data, offsets in texts:
+                _, _, hashes, first = words(data, offsets[a:z + 1])
+                shingle, rows, count = multisets(*shingles(hashes, first))
+                sides.append((shingle, count, np.searchsorted(rows, np.arange(z - a + 1))))
+            (s, c, at), (s2, c2, at2) = sides
+            keep = []
+            for i in range(z - a):
+                x, y = slice(at[i], at[i + 1]), slice(at2[i], at2[i + 1])
+                _, p, q = np.intersect1d(s[x], s2[y], assume_unique=True, return_indices=True)
+                common = int(np.minimum(c[x][p], c2[y][q]).sum())
+                joint = int(c[x].sum() + c2[y].sum()) - common
+                keep.append(joint > 0 and common >= SIMILARITY * joint - 1e-9)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).slice(a, z - a).filter(pa.array(keep)) for k in (0, 1)],
+                ["u", "v"])
 
 
 def _verified(pairs, texts):
@@ -258,7 +261,7 @@ def _tokens(batches):
     """``rep, label, size, token``: each shingle once per occurrence, numbered."""
     for batch in batches:
         data, offsets = utf8(batch.column(2))
-        for a, z in blocks(offsets):
+        for a, z in blocks(offsets, BLOCK_BYTES):
             _, _, hashes, first = words(data, offsets[a:z + 1])
             shingle, rows, count = multisets(*shingles(hashes, first))
             ends = np.cumsum(count)

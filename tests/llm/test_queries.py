@@ -4,6 +4,7 @@ import re
 import sys
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,8 +237,6 @@ def test_substrings_across_tasks(spark, monkeypatch):
 
 def test_long_texts_are_sorted_in_parts(monkeypatch):
     import numpy as np
-    import pyarrow as pa
-
     draw = np.random.default_rng(2)
     text = "".join(map(chr, draw.integers(97, 101, 30_000))) * 2
     runs = pa.array([[{"start": 0, "n": 59_000}, {"start": 59_000, "n": 5000}]],
@@ -335,3 +334,30 @@ def test_pipeline(spark):
     assert classes.select(F.count_distinct("class_id")).first()[0] == docs.select("doc_id").distinct().count()
     found = decontaminate.find_passages(docs, spark.read.parquet(f"{DATA}/benchmark.parquet"))
     assert found.filter(F.size("spans") > 0).count() == 0
+
+
+def test_compared_pairs_do_not_depend_on_blocks(monkeypatch):
+    from collections import Counter
+
+    def bag(text):
+        words = (text or "").split()
+        return Counter(tuple(words[i:i + 5]) for i in range(max(len(words) - 4, min(len(words), 1))))
+
+    one = " ".join(f"w{i}" for i in range(60))
+    texts = [one, one + " more", one.replace("w30", "x"), "", None, one + " " + one, "w1 w2"]
+    pairs = [(i, j, a, b) for i, a in enumerate(texts) for j, b in enumerate(texts)]
+    wanted = []
+    for i, j, a, b in pairs:
+        common, joint = (bag(a) & bag(b)).total(), (bag(a) | bag(b)).total()
+        if joint and common >= 0.8 * joint:
+            wanted.append((i, j))
+    assert 5 < len(wanted) < len(pairs) - 20
+    kinds = pa.int64(), pa.int64(), pa.string(), pa.string()
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*pairs), kinds)], ["u", "v", "a", "b"])
+    for size in (1, 700, 1_000_000):
+        monkeypatch.setattr(bag_minhash, "BLOCK_BYTES", size)
+        # The second part of the batch keeps its offsets in the whole.
+        parts = [batch.slice(0, 20), batch.slice(20), batch.slice(0, 0)]
+        rows = pa.Table.from_batches(bag_minhash._overlaps(parts)).to_pylist()
+        assert [(r["u"], r["v"]) for r in rows] == wanted
