@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from mastgrid.functions.derive import with_operator
@@ -67,6 +67,8 @@ def site_points(df, by=(), operators=None, default=DEFAULT_OPERATOR):
     """
     if "operator_name" in by:
         df = with_operator(df, operators, default)
+    if set(df.columns) == {*by, "lat", "lon", "n_towers", GROUP}:
+        return df  # they are the points of this very grouping
     towers = F.sum("n_towers") if "n_towers" in df.columns else F.count(F.lit(1)).cast("double")
     placed = df.dropna(subset=["lat", "lon"])
     points = placed.groupBy(*by, "lat", "lon").agg(towers.alias("n_towers"))
@@ -142,15 +144,31 @@ def with_nearest(points, centres):
     ``centres`` is a dict from a group's key to its ``(lat, lon)``; points of other groups are
     left out. It is sent to every task, so its size is the caller's to bound.
     """
-    table = pa.table({
-        GROUP: pa.array(list(centres), pa.string()),
-        "centres": pa.array([[{"lat": a, "lon": o} for a, o in c] for c in centres.values()], CENTRES)})
-    sent = points.sparkSession.createDataFrame(table)
-    away = F.transform("centres", lambda c, i: F.struct(
-        ((F.col("lat") - c["lat"]) * (F.col("lat") - c["lat"])
-         + (F.col("lon") - c["lon"]) * (F.col("lon") - c["lon"])).alias("d"), i.alias("i")))
-    near = points.join(F.broadcast(sent), GROUP).withColumn("near", F.array_min(away))
-    return near.select(*points.columns, F.col("near.d").alias("d"), F.col("near.i").alias("i"))
+    most = max([1, *map(len, centres.values())])
+
+    def sent_column(axis, number):
+        return pa.array([c[number][axis] if number < len(c) else None for c in centres.values()], pa.float64())
+
+    columns = {f"_{c}{i}": sent_column(axis, i) for i in range(most) for axis, c in enumerate(("lat", "lon"))}
+    sent = points.sparkSession.createDataFrame(
+        pa.table({GROUP: pa.array(list(centres), pa.string()), **columns}))
+    # One plain column per centre: a function over an array of centres runs outside generated
+    # code, at a hundred times the cost. Centres that a group lacks are NULL and never nearest.
+    north, east = ([F.col(c) - F.col(f"_{c}{i}") for i in range(most)] for c in ("lat", "lon"))
+    away = F.array(*[y * y + x * x for y, x in zip(north, east)])
+    near = points.join(F.broadcast(sent), GROUP).withColumn("_away", away).withColumn("d", F.array_min("_away"))
+    return near.select(*points.columns, "d", (F.array_position("_away", F.col("d")) - 1).cast("int").alias("i"))
+
+
+def _means(places, centres):
+    """Means and towers of the places nearest to each centre: ``{(group, i): (lat, lon, n)}``.
+
+    Centres that no place is nearest to are not in it. What comes back is a row per centre.
+    """
+    weight = F.col("n_towers")
+    sums = with_nearest(places, centres).groupBy(GROUP, "i").agg(
+        F.sum(weight).alias("n"), *[F.sum(weight * F.col(c)).alias(c) for c in ("lat", "lon")])
+    return {(r[GROUP], r.i): (r.lat / r.n, r.lon / r.n, int(r.n)) for r in sums.collect()}
 
 
 def _cells(places, groups):
@@ -232,10 +250,7 @@ def _fit_groups(points, groups, seed, max_iter, tol):
                 centres[row[GROUP]].append((row.c.lat, row.c.lon))
         done, moving = {}, dict(centres)
         for turn in range(max_iter):
-            sums = with_nearest(places, moving).groupBy(GROUP, "i").agg(
-                F.sum("n_towers").alias("n"), F.sum(F.col("n_towers") * F.col("lat")).alias("lat"),
-                F.sum(F.col("n_towers") * F.col("lon")).alias("lon"))
-            means = {(r[GROUP], r.i): (r.lat / r.n, r.lon / r.n, int(r.n)) for r in sums.collect()}
+            means = _means(places, moving)
             for key in list(moving):
                 old = moving[key]
                 # A centre that no place is nearest to stays where it is.
@@ -256,20 +271,23 @@ def _fit_groups(points, groups, seed, max_iter, tol):
 def site_fit(df, sites, by=(), tol=1e-4, operators=None, default=DEFAULT_OPERATOR):
     """How well sites fit their towers: ``by..., k, n_towers, sizes_match, settled``.
 
-    Every place is assigned to its nearest site anew. ``sizes_match`` holds if each site has as
+    Every tower is assigned to its nearest site anew. ``sizes_match`` holds if each site has as
     many towers as it says; ``settled`` if moving all sites of the group to the means of their
     towers moves them by no more than ``tol`` of the variance. ``sites`` is a result of
     ``suggest_sites``: at most 25 rows a group.
     """
     by = tuple(by)
-    points = site_points(df, by, operators, default)
-    if not by:
-        points = points.withColumn(GROUP, F.lit(""))
-    keyed = sites.withColumn(GROUP, F.to_json(F.struct(*by)) if by else F.lit(""))
+    if "operator_name" in by:
+        df = with_operator(df, operators, default)
+    key = F.to_json(F.struct(*by)) if by else F.lit("")
+    weight = F.col("n_towers") if "n_towers" in df.columns else F.lit(1.0)
+    # Towers are summed up by site in each scan task, so they are not exchanged by place first.
+    points = df.dropna(subset=["lat", "lon"]).select(key.alias(GROUP), "lat", "lon", weight.alias("n_towers"))
+    keyed = sites.withColumn(GROUP, key)
     centres = {}
     for row in keyed.orderBy(GROUP, "site_no").collect():
         centres.setdefault(row[GROUP], []).append((row.lat, row.lon))
-    near = with_nearest(points.select(GROUP, "lat", "lon", "n_towers"), centres)
+    near = with_nearest(points, centres)
     weight = F.col("n_towers")
     found = near.groupBy(GROUP, "i").agg(
         F.sum(weight).cast("bigint").alias("found"),
@@ -298,12 +316,12 @@ def _fit(points, group, clusters, seed, max_iter, tol):
 
 
 def _cluster(members, group, clusters, seed, max_iter, tol):
-    members = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(members)
     # K-Means draws its first centres by partition, so a layout that follows from the places
-    # alone gives the same centres in every session.
+    # alone gives the same centres in every session. Vectors are made after the exchange.
     partitions = math.ceil(group.places / PLACES_PER_PARTITION)
-    laid_out = members.repartition(partitions, "lat", "lon").sortWithinPartitions("lat", "lon")
-    laid_out = laid_out.select("features", "n_towers")
+    laid_out = members.select("lat", "lon", "n_towers").repartition(partitions, "lat", "lon")
+    laid_out = laid_out.sortWithinPartitions("lat", "lon").select(
+        array_to_vector(F.array("lat", "lon")).alias("features"), "n_towers")
 
     # The row solver, because the block solver fails if fewer than k first centres are drawn.
     means = KMeans(
@@ -316,12 +334,10 @@ def _cluster(members, group, clusters, seed, max_iter, tol):
         model = means.setInitMode("random").fit(laid_out)
     if len(model.clusterCenters()) < clusters:
         raise RuntimeError(f"{len(model.clusterCenters())} of {clusters} centres: use another seed")
-    # At most k rows.
-    counted = model.transform(members).groupBy("site").agg(F.sum("n_towers").cast("bigint"))
-    sizes = dict(counted.collect())
-    return [
-        (float(c[0]), float(c[1]), sizes.get(i, 0)) for i, c in enumerate(model.clusterCenters())
-    ]
+    centres = [(float(lat), float(lon)) for lat, lon in model.clusterCenters()]
+    counted = _means(members.withColumn(GROUP, F.lit("")), {"": centres})
+    sizes = {i: n for (_, i), (_, _, n) in counted.items()}
+    return [(*c, sizes.get(i, 0)) for i, c in enumerate(centres)]
 
 
 def _site_table(df, by, rows):

@@ -10,6 +10,7 @@ from mastgrid.operators.sites import (
     site_count,
     site_points,
     suggest_sites,
+    with_nearest,
 )
 from mastgrid.sources.lineitem import towers_from_lineitem
 
@@ -201,3 +202,27 @@ def test_map_layers_round_trip(spark, clean, tmp_path):
     assert counts["region_radius"] == counts["region_samples"] == regions
     assert counts["underserved"] == mg.region_underserved(clean).count()
     assert counts["sites_all"] == 1500 + 10
+
+
+def test_nearest_centres_are_found_in_generated_code(spark):
+    """Groups may have different numbers of centres; of equally near ones the first counts."""
+    rows = [("a", 0.0, 1.0), ("a", 0.0, 9.0), ("a", 0.0, 5.0), ("b", 0.0, 9.0), ("c", 0.0, 0.0)]
+    points = spark.createDataFrame(rows, "group_key string, lat double, lon double")
+    near = with_nearest(points, {"a": [(0.0, 0.0), (0.0, 10.0)], "b": [(0.0, 0.0)]})
+    assert sorted(near.collect()) == [
+        ("a", 0.0, 1.0, 1.0, 0), ("a", 0.0, 5.0, 25.0, 0), ("a", 0.0, 9.0, 1.0, 1), ("b", 0.0, 9.0, 81.0, 0)]
+    assert dict(near.dtypes)["i"] == "int"
+    assert "lambdafunction" not in near._jdf.queryExecution().executedPlan().toString()
+    assert with_nearest(points, {}).count() == 0
+
+
+def test_site_fit_does_not_gather_places(clean, monkeypatch):
+    sites = mg.suggest_sites_all(clean)
+    monkeypatch.setattr("mastgrid.operators.sites.durable", None)
+    assert [tuple(r) for r in mg.site_fit(clean, sites).collect()] == [(10, clean.count(), True, True)]
+
+
+def test_points_of_the_same_grouping_are_used_as_they_are(clean):
+    points = site_points(clean, OPERATOR_TECH)
+    assert site_points(points, OPERATOR_TECH) is points
+    assert site_points(points, TECH) is not points
