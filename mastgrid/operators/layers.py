@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mastgrid.functions.derive import operator_color, tech_color, with_operator
+from mastgrid.functions.durable import durable
 from mastgrid.functions.numeric import clip, round_half_even
 from mastgrid.operators.carriers import region_top_operator
 from mastgrid.operators.region import is_underserved, region_stats, region_underserved
@@ -15,6 +16,8 @@ from mastgrid.operators.stats import density_grid, tower_sample
 from mastgrid.schema import DEFAULT_OPERATOR
 
 COLUMNS = ["layer", "lat", "lon", "radius", "color", "popup"]
+#: Towers usually shown, of all and of each operator.
+SCATTER, OPERATOR_SCATTER = 3000, 1000
 
 
 def marker(layer, lat, lon, radius, color, popup):
@@ -62,7 +65,7 @@ def _underserved_marker():
     )
 
 
-def layer_scatter(df, n=3000, seed=42):
+def layer_scatter(df, n=SCATTER, seed=42):
     """A sample of towers in the colours of their technologies."""
     return tower_sample(df, n, seed).select(*_scatter_marker("scatter"))
 
@@ -99,7 +102,7 @@ def layer_top_operator(df, mode="half_up", operators=None, default=DEFAULT_OPERA
     return region_top_operator(df, mode, operators, default).select(*point)
 
 
-def layer_operator_scatter(df, n=1000, seed=42, operators=None, default=DEFAULT_OPERATOR):
+def layer_operator_scatter(df, n=OPERATOR_SCATTER, seed=42, operators=None, default=DEFAULT_OPERATOR):
     """A sample of each operator's towers in the colours of their technologies."""
     named = with_operator(df, operators, default)
     sample = tower_sample(named, n, seed, OPERATOR)
@@ -175,9 +178,16 @@ def map_layers(
     # One pass over the towers gives the points of all four kinds of sites.
     points = site_points(df, OPERATOR_TECH, **named)
 
+    # The first towers of all, of an operator or of a technology are among the first of each
+    # operator's towers of each technology, so all samples are drawn from one of those.
+    numbers = {kind: shown.get(kind, layer[2]) for kind, layer in SITE_LAYERS.items()}
+    most = max(SCATTER, OPERATOR_SCATTER, *[n for n in numbers.values() if n is not None])
+    sampled = durable(tower_sample(with_operator(df, **named), most, seed, OPERATOR_TECH))
+
     def sites(kind):
         found = suggest_sites(points, SITE_LAYERS[kind][1], seed=seed, **options)
-        return layer_sites(df, kind, found, seed, n=shown.get(kind, USUAL), **named)
+        n = numbers[kind]
+        return layer_sites(df if n is None else sampled, kind, found, seed, n=n, **named)
 
     # The four kinds of sites are independent jobs; they share the cluster.
     pool = ThreadPool(len(SITE_LAYERS))
@@ -186,11 +196,11 @@ def map_layers(
     finally:
         pool.close()
     layers = [
-        layer_scatter(df, seed=seed),
+        layer_scatter(sampled, SCATTER, seed),
         layer_density(df),
         region_layers(df, mode),
         layer_top_operator(df, mode, **named),
-        layer_operator_scatter(df, seed=seed, **named),
+        layer_operator_scatter(sampled, OPERATOR_SCATTER, seed, **named),
         *with_sites,
     ]
     return reduce(DataFrame.unionByName, layers)

@@ -226,3 +226,22 @@ def test_points_of_the_same_grouping_are_used_as_they_are(clean):
     points = site_points(clean, OPERATOR_TECH)
     assert site_points(points, OPERATOR_TECH) is points
     assert site_points(points, TECH) is not points
+
+
+def test_map_layers_sample_the_towers_once(spark, clean, monkeypatch):
+    from mastgrid.functions import select
+
+    sizes, cut = [], select.cut_rows
+    monkeypatch.setattr(select, "cut_rows", lambda df, *rest: sizes.append(df.count()) or cut(df, *rest))
+    monkeypatch.setattr("mastgrid.operators.layers.SCATTER", 30)
+    monkeypatch.setattr("mastgrid.operators.layers.OPERATOR_SCATTER", 4)
+    layers = mg.map_layers(clean, shown={"all": 20, "tech": 3, "operator": 2})
+    assert sizes.count(clean.count()) == 1
+    single = [mg.layer_scatter(clean, 30), mg.layer_operator_scatter(clean, 4)]
+    for layer in single:
+        name = layer.first().layer
+        assert sorted(layer.collect()) == sorted(layers.filter(F.col("layer") == name).collect())
+    for kind, n in (("all", 20), ("tech", 3), ("operator", 2)):
+        towers = mg.layer_sites(clean, kind, n=n).filter("popup IS NULL").select("lat", "lon")
+        shown = layers.filter(F.col("popup").isNull() & (F.col("layer") == f"sites_{kind}"))
+        assert sorted(towers.collect()) == sorted(shown.select("lat", "lon").collect())
