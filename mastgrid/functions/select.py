@@ -51,8 +51,10 @@ def cut_rows(df, n, keys, value):
         share = F.lit(float(n)) / F.col("_n") + 2.0 / ACCURACY
         place = F.floor(-F.log2(share)).cast("int")
         large = stats.filter((F.col("_n") > max(CUT_ROWS, total // SENT_CUTS)) & (place >= 1))
-        found = large.select(*names, F.element_at("_at", F.least(place, F.lit(len(SHARES) - 1)) + 1).alias("_cut"))
-        if found.isEmpty():
+        place = F.least(place, F.lit(len(SHARES) - 1))
+        found = large.select(*names, F.element_at("_at", place + 1).alias("_cut"))
+        left = large.agg(F.max(F.col("_n") * (F.pow(F.lit(2.0), -place) + 1.0 / ACCURACY))).first()[0]
+        if left is None:
             break
         # A group that was cut before and is small enough now keeps its cut.
         before, cuts = cuts, found
@@ -66,6 +68,8 @@ def cut_rows(df, n, keys, value):
             few = found.select(*[F.col(c).alias(f"_of{i}") for i, c in enumerate(names)])
             rows = rows.join(F.broadcast(few), same, "left_semi")
         cuts = durable(cuts)
+        if left <= CUT_ROWS:
+            break  # no group is large any more, so another pass would cut nothing
         rows = below(rows, names, F.col("_value"))
     if cuts is None:
         return df

@@ -245,3 +245,17 @@ def test_map_layers_sample_the_towers_once(spark, clean, monkeypatch):
         towers = mg.layer_sites(clean, kind, n=n).filter("popup IS NULL").select("lat", "lon")
         shown = layers.filter(F.col("popup").isNull() & (F.col("layer") == f"sites_{kind}"))
         assert sorted(towers.collect()) == sorted(shown.select("lat", "lon").collect())
+
+
+def test_no_pass_for_groups_already_cut(spark, monkeypatch):
+    from mastgrid.functions import select
+
+    kept, durable = [], select.durable
+    monkeypatch.setattr(select, "durable", lambda df: kept.append(df) or durable(df))
+    monkeypatch.setattr(select, "CUT_ROWS", 1000)
+    for keys in ([], ["k"]):
+        kept.clear()
+        rows = spark.range(100_000).select("id", F.lit(1).alias("k"))
+        left = select.cut_rows(rows, 10, keys, F.col("id"))
+        assert 10 <= left.count() < 1000 and left.agg(F.min("id")).first()[0] == 0
+        assert len(kept) == 2  # one set of sketches, one set of cuts
